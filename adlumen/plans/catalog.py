@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlumen.operators import geo as GEO
+from adlumen.operators import graph as G
+from adlumen.operators import identity as I
+from adlumen.operators import tags as TG
+from adlumen.operators.lookup import drop_stopwords
+from adlumen.plans import profiles as P
 from adlumen.plans import reports
+from adlumen.sinks.writers import format_report_lines, format_tag_lines
 from adlumen.sources import bindings as B
 from adlumen.sources.dictionary import parse_app_dictionary
+from adlumen.sources.logs import parse_log
 
 # Money is compared exactly across engines: prices are 2-decimal values, so
 # sum them as exact cents (order-independent) and divide once at the end.
@@ -74,3 +82,155 @@ def app_dictionary(spark, sf_dir):
 @query
 def app_dictionary_strict(spark, sf_dir):
     return _dictionary(spark, sf_dir, strict=True)
+
+
+# --- ETL: raw text lines -> typed log ------------------------------------------------
+
+@query
+def etl_parse_log(spark, sf_dir):
+    good, _ = parse_log(B.raw_log_lines(spark, sf_dir))
+    return good
+
+
+@query
+def etl_rejects(spark, sf_dir):
+    _, rejected = parse_log(B.raw_log_lines(spark, sf_dir))
+    return rejected.select(F.substring_index("line", ",", 1).alias("sessionid"), "n_fields")
+
+
+@query
+def report_lines_text(spark, sf_dir):
+    rep = reports.location_report(B.ad_log(spark, sf_dir), "cumulative", money_scale=MONEY_SCALE)
+    return format_report_lines(rep, ["provincename", "cityname"], legacy=True)
+
+
+# --- identity ----------------------------------------------------------------------
+
+@query
+def has_any_id(spark, sf_dir):
+    return B.ad_log(spark, sf_dir).where(I.has_any_id()).select("sessionid")
+
+
+@query
+def has_any_id_in_bbox(spark, sf_dir):
+    return B.ad_log(spark, sf_dir).where(I.has_any_id_in_bbox()).select("sessionid")
+
+
+@query
+def first_id(spark, sf_dir):
+    log = B.ad_log(spark, sf_dir)
+    return log.where(I.has_any_id()).select("sessionid", I.first_id().alias("user_id"))
+
+
+@query
+def all_ids(spark, sf_dir):
+    log = B.ad_log(spark, sf_dir)
+    return log.where(I.has_any_id()).select("sessionid", F.array_join(I.all_ids(), ",").alias("ids"))
+
+
+# --- tags per row (long form: one row per (row, tag) with its weight) ---------------
+
+def _row_tag_counts(df, tag_col):
+    return (df.select("sessionid", F.explode(tag_col).alias("tag"))
+              .groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight")))
+
+
+@query
+def tags_ad(spark, sf_dir):
+    return _row_tag_counts(B.ad_log(spark, sf_dir), TG.ad_tags())
+
+
+@query
+def tags_device(spark, sf_dir):
+    return _row_tag_counts(B.ad_log(spark, sf_dir), TG.device_tags())
+
+
+@query
+def tags_location(spark, sf_dir):
+    return _row_tag_counts(B.ad_log(spark, sf_dir), TG.location_tags())
+
+
+@query
+def tags_app(spark, sf_dir):
+    log = TG.with_app_lookup(B.ad_log(spark, sf_dir), _dictionary(spark, sf_dir))
+    return _row_tag_counts(log, TG.app_tags(dict_name="__dict_app"))
+
+
+@query
+def tags_keyword(spark, sf_dir):
+    log = B.ad_log(spark, sf_dir)
+    words = log.select("sessionid", F.explode(TG.keyword_words()).alias("word"))
+    kept = drop_stopwords(words, B.stopwords(spark), word="word")
+    tags = kept.select("sessionid", F.concat(F.lit("K"), F.col("word")).alias("tag"))
+    return tags.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+
+
+@query
+def user_tags(spark, sf_dir):
+    return P.user_tags(B.ad_log(spark, sf_dir), dictionary=_dictionary(spark, sf_dir),
+                       stopwords=B.stopwords(spark))
+
+
+@query
+def user_tag_lines(spark, sf_dir):
+    merged = user_tags(spark, sf_dir)
+    return format_tag_lines(TG.collect_profiles(merged, "user_id"), user="user_id")
+
+
+# --- identity graph ----------------------------------------------------------------
+
+@query
+def id_edges(spark, sf_dir):
+    return I.id_edges(P.id_rows(B.ad_log(spark, sf_dir)).select("ids"))
+
+
+@query
+def connected_components(spark, sf_dir):
+    return G.connected_components(id_edges(spark, sf_dir))
+
+
+@query
+def component_members(spark, sf_dir):
+    return G.component_members(connected_components(spark, sf_dir))
+
+
+@query
+def component_sizes(spark, sf_dir):
+    return G.component_sizes(connected_components(spark, sf_dir))
+
+
+@query
+def person_profiles(spark, sf_dir):
+    return P.person_profiles(B.ad_log(spark, sf_dir), dictionary=_dictionary(spark, sf_dir),
+                             stopwords=B.stopwords(spark))
+
+
+# --- geo -----------------------------------------------------------------------------
+
+@query
+def bbox_points(spark, sf_dir):
+    return GEO.in_box_points(B.geo_points(spark, sf_dir))
+
+
+@query
+def geohash8(spark, sf_dir):
+    pts = B.geo_points(spark, sf_dir).where(GEO.in_bbox())
+    return pts.select("c_custkey", GEO.point_geohash().alias("geohash"))
+
+
+@query
+def parse_responses(spark, sf_dir):
+    r = B.geo_responses(spark, sf_dir)
+    return r.select("long", "lat", GEO.parse_business("response").alias("business"))
+
+
+@query
+def business_lookup(spark, sf_dir):
+    return GEO.build_business_lookup(B.geo_points(spark, sf_dir), B.geo_responses(spark, sf_dir))
+
+
+@query
+def tags_business(spark, sf_dir):
+    lookup = business_lookup(spark, sf_dir)
+    words = GEO.business_tag_words(B.ad_log(spark, sf_dir), lookup, keep=("sessionid",))
+    return words.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))

@@ -96,3 +96,221 @@ ORACLES["funnel_app_key_default"] = _app_funnel("l.appid")
 ORACLES["funnel_app_null_default"] = _app_funnel("null")
 ORACLES["app_dictionary"] = _dictionary_sql(False)
 ORACLES["app_dictionary_strict"] = _dictionary_sql(True)
+
+
+# --- shared SQL fragments ----------------------------------------------------------
+
+from adlumen.schema import (  # noqa: E402
+    ALL_ID_SPEC, BUSINESS_BBOX, CARRIER_CODES, CARRIER_OTHER, COARSE_BBOX, FIRST_ID_SPEC,
+    FUNNEL_LEGACY_ORDER, GEOHASH_BASE32, ID_COLUMNS, LOG_FIELDS, NETWORK_CODES, NETWORK_OTHER,
+    OS_CODES, OS_OTHER,
+)
+
+AL = _b("ad_log")
+STOPWORDS_SQL = "('cold', 'bolt')"
+HAS_ANY_ID = "(" + " or ".join(f"{c} <> ''" for c in ID_COLUMNS) + ")"
+FIRST_ID = "coalesce(" + ", ".join(
+    f"case when {not_blank(c)} then '{p}' || {c} end" for c, p in FIRST_ID_SPEC) + ")"
+ID_LIST = "list_filter([" + ", ".join(
+    f"case when {not_blank(c)} then '{p}' || {c} end" for c, p in ALL_ID_SPEC) + "], lambda x: x is not null)"
+
+
+def in_bbox_sql(box, lng="long", lat="lat") -> str:
+    a, b, c, d = box
+    return (f"coalesce(try_cast({lng} as double) between {a} and {b} "
+            f"and try_cast({lat} as double) between {c} and {d}, false)")
+
+
+def _case(col, codes, other, quote=True):
+    arms = " ".join(
+        f"when {(repr(k) if quote else k)} then '{v}'" for k, v in codes.items())
+    return f"case {col} {arms} else '{other}' end"
+
+
+AD_TAGS = ("[case when adspacetype > 9 then 'LC' || cast(adspacetype as varchar) "
+           "when adspacetype > 0 then 'LC0' || cast(adspacetype as varchar) end, "
+           f"case when {not_blank('adspacetypename')} then 'LN' || adspacetypename end, "
+           "'CN' || cast(coalesce(adplatformproviderid, 0) as varchar)]")
+DEVICE_TAGS = ("[" + _case("coalesce(client, 0)", OS_CODES, OS_OTHER, quote=False) + ", "
+               + _case("networkmannername", NETWORK_CODES, NETWORK_OTHER) + ", "
+               + _case("ispname", CARRIER_CODES, CARRIER_OTHER) + "]")
+LOCATION_TAGS = (f"[case when {not_blank('provincename')} then 'ZP' || provincename end, "
+                 f"case when {not_blank('cityname')} then 'ZC' || cityname end]")
+APP_TAGS = (f"[case when {not_blank('appname')} then 'APP' || appname "
+            f"when {not_blank('appid')} then 'APP' || coalesce(dict_value, appid) end]")
+
+
+def _with_dict(src: str) -> str:
+    return (f"(select s.*, d.value as dict_value from {src} s left join "
+            f"({_dictionary_sql(False)}) d on s.appid = d.key)")
+
+
+def _tag_rows(src: str, key: str, lists=(AD_TAGS, LOCATION_TAGS, DEVICE_TAGS, APP_TAGS),
+              keywords: bool = True) -> str:
+    """Long-form tag occurrences ``(key, tag)`` of the rows of ``src``."""
+    parts = []
+    for lst in lists:
+        s = _with_dict(src) if lst is APP_TAGS else src
+        parts.append(f"select {key}, unnest(list_filter({lst}, lambda x: x is not null)) as tag from {s} t")
+    if keywords:
+        parts.append(
+            f"select {key}, 'K' || w as tag from (select {key}, "
+            f"unnest(string_split(coalesce(keywords, ''), '|')) as w from {src} t) k "
+            f"where length(w) between 3 and 8 and w not in {STOPWORDS_SQL}")
+    return " union all ".join(parts)
+
+
+def _counted(inner: str, key: str) -> str:
+    return (f"select {key}, tag, cast(count(*) as int) as weight from ({inner}) x "
+            f"group by {key}, tag")
+
+
+# --- ETL -----------------------------------------------------------------------------
+
+_INT_SQL = "case when regexp_full_match({f}, '[+-]?[0-9]+') then coalesce(try_cast({f} as integer), 0) else 0 end"
+_DBL_SQL = ("case when regexp_full_match({f}, '(?i)\\s*[+-]?(inf|infinity|nan)\\s*') "
+            "and not regexp_full_match({f}, '\\s*([+-]?Infinity|NaN)\\s*') then 0.0 "
+            "else coalesce(try_cast(trim({f}) as double), 0.0) end")
+
+
+def _parse_cols() -> str:
+    cols = []
+    for i, (name, kind) in enumerate(LOG_FIELDS):
+        f = f"fs[{i + 1}]"
+        if kind == "int":
+            e = _INT_SQL.format(f=f)
+        elif kind == "double":
+            e = _DBL_SQL.format(f=f)
+        else:
+            e = f
+        cols.append(f"cast({e} as {kind}) as {name}")
+    return ", ".join(cols)
+
+
+ORACLES["etl_parse_log"] = (
+    f"select {_parse_cols()} from (select string_split(value, ',') as fs "
+    f"from {_b('raw_log_lines')} r) x where len(fs) >= 85"
+)
+ORACLES["etl_rejects"] = (
+    f"select split_part(value, ',', 1) as sessionid, cast(len(string_split(value, ',')) as int) "
+    f"as n_fields from {_b('raw_log_lines')} r where len(string_split(value, ',')) < 85"
+)
+ORACLES["report_lines_text"] = (
+    "select concat_ws(',', coalesce(provincename, 'null'), coalesce(cityname, 'null'), "
+    + ", ".join(f"cast(cast({m} as double) as varchar)" for m in FUNNEL_LEGACY_ORDER)
+    + ") as value from (" + ORACLES["funnel_location_cumulative"] + ") f"
+)
+
+# --- identity ------------------------------------------------------------------------
+
+ORACLES["has_any_id"] = f"select sessionid from {AL} l where {HAS_ANY_ID}"
+ORACLES["has_any_id_in_bbox"] = (
+    f"select sessionid from {AL} l where {in_bbox_sql(COARSE_BBOX)} and {HAS_ANY_ID}")
+ORACLES["first_id"] = f"select sessionid, {FIRST_ID} as user_id from {AL} l where {HAS_ANY_ID}"
+ORACLES["all_ids"] = (
+    f"select sessionid, array_to_string({ID_LIST}, ',') as ids from {AL} l where {HAS_ANY_ID}")
+
+# --- tags ----------------------------------------------------------------------------
+
+ORACLES["tags_ad"] = _counted(_tag_rows(AL, "sessionid", (AD_TAGS,), False), "sessionid")
+ORACLES["tags_device"] = _counted(_tag_rows(AL, "sessionid", (DEVICE_TAGS,), False), "sessionid")
+ORACLES["tags_location"] = _counted(_tag_rows(AL, "sessionid", (LOCATION_TAGS,), False), "sessionid")
+ORACLES["tags_app"] = _counted(_tag_rows(AL, "sessionid", (APP_TAGS,), False), "sessionid")
+ORACLES["tags_keyword"] = _counted(_tag_rows(AL, "sessionid", (), True), "sessionid")
+
+_USERS = f"(select *, {FIRST_ID} as user_id from {AL} l where {HAS_ANY_ID})"
+_USERS = f"(select * from {_USERS} u where user_id is not null)"
+ORACLES["user_tags"] = _counted(_tag_rows(_USERS, "user_id"), "user_id")
+ORACLES["user_tag_lines"] = (
+    "select user_id || ',' || string_agg(tag || ':' || cast(weight as varchar), ',' order by tag) "
+    f"as value from ({ORACLES['user_tags']}) p group by user_id"
+)
+
+# --- identity graph --------------------------------------------------------------------
+
+_ID_ROWS = (f"(select * from (select *, {ID_LIST} as ids from {AL} l where {HAS_ANY_ID}) r "
+            f"where len(ids) > 0)")
+_ID_ROWS = f"(select *, ids[1] as head from {_ID_ROWS} h)"
+ORACLES["id_edges"] = f"select distinct ids[1] as src, unnest(ids) as dst from {_ID_ROWS} r"
+
+_CC_CTE = (
+    f"with recursive edges as ({ORACLES['id_edges']}), "
+    "e as (select src as a, dst as b from edges union select dst as a, src as b from edges), "
+    "r(id, c) as (select a, a from e union select e.b, r.c from r join e on r.id = e.a), "
+    "labels as (select id, min(c) as component from r group by id) "
+)
+ORACLES["connected_components"] = _CC_CTE + "select id, component from labels"
+ORACLES["component_members"] = _CC_CTE + "select component, id as member from labels"
+ORACLES["component_sizes"] = _CC_CTE + "select component, count(*) as n_members from labels group by component"
+ORACLES["person_profiles"] = (
+    _CC_CTE
+    + f", tagged as ({_tag_rows(_ID_ROWS, 'head')}) "
+    + "select l.component, t.tag as entry, cast(count(*) as int) as weight "
+    + "from tagged t join labels l on t.head = l.id group by l.component, t.tag "
+    + "union all select component, id as entry, 0 as weight from labels"
+)
+
+# --- geo ---------------------------------------------------------------------------------
+
+_SPREAD = [(16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+           (2, 0x3333333333333333), (1, 0x5555555555555555)]
+
+
+def geohash_sql(lng: str, lat: str, precision: int = 8) -> str:
+    nbits = 5 * precision
+    nx, ny = (nbits + 1) // 2, nbits // 2
+
+    def cell(v, lo, span, bits):
+        n = 1 << bits
+        return (f"least(greatest(cast(floor(({v} - ({lo})) / {span} * {float(n)}) as bigint), 0), "
+                f"{n - 1})")
+
+    def spread(v):
+        for s, m in _SPREAD:
+            v = f"((({v}) << {s}) | ({v})) & {m}"
+        return v
+
+    x = spread(cell(f"try_cast({lng} as double)", -180.0, 360.0, nx))
+    y = spread(cell(f"try_cast({lat} as double)", -90.0, 180.0, ny))
+    code = f"((({x}) << 1) | ({y}))" if nbits % 2 == 0 else f"(({x}) | (({y}) << 1))"
+    chars = [f"substr('{GEOHASH_BASE32}', cast(((gh_code >> {nbits - 5 * (k + 1)}) & 31) as integer) + 1, 1)"
+             for k in range(precision)]
+    return f"(select {' || '.join(chars)} from (select {code} as gh_code))"
+
+
+_GEO = _b("geo_points")
+ORACLES["bbox_points"] = f"select distinct long, lat from {_GEO} g where {in_bbox_sql(BUSINESS_BBOX)}"
+ORACLES["geohash8"] = (
+    f"select c_custkey, {geohash_sql('long', 'lat')} as geohash from {_GEO} g "
+    f"where {in_bbox_sql(BUSINESS_BBOX)}")
+
+_POIS = "json_extract_string(b, '$.result.pois[*].tag')"
+_BIZ = "json_extract_string(b, '$.result.business')"
+_PARSE = (
+    "case when b is null or not json_valid(b) then null "
+    "when json_extract(b, '$.status') is null then null "
+    "when try_cast(json_extract_string(b, '$.status') as integer) = 0 then "
+    f"case when {_BIZ} is null then null when {_BIZ} = '' then array_to_string(list_filter({_POIS}, "
+    f"lambda x, i: x is not null and x <> '' and list_position({_POIS}, x) = i), ';') "
+    f"else replace({_BIZ}, ',', ';') end "
+    "else '' end"
+)
+ORACLES["parse_responses"] = (
+    f"select long, lat, {_PARSE} as business from (select long, lat, case when "
+    "starts_with(response, '{') then replace(response, 'renderReverse&&renderReverse(', '') "
+    "else substr(replace(response, 'renderReverse&&renderReverse(', ''), 1, "
+    "length(replace(response, 'renderReverse&&renderReverse(', '')) - 1) end as b "
+    f"from {_b('geo_responses')} r) x"
+)
+ORACLES["business_lookup"] = (
+    f"select geohash, min(business) as business from (select {geohash_sql('p.long', 'p.lat')} "
+    f"as geohash, r.business from ({ORACLES['bbox_points']}) p join ({ORACLES['parse_responses']}) r "
+    f"on p.long = r.long and p.lat = r.lat where {not_blank('r.business')}) k group by geohash"
+)
+ORACLES["tags_business"] = (
+    "select sessionid, tag, cast(count(*) as int) as weight from (select sessionid, "
+    "unnest(string_split(k.business, ';')) as tag from (select sessionid, "
+    f"{geohash_sql('long', 'lat')} as geohash from {AL} l where {in_bbox_sql(BUSINESS_BBOX)}) a "
+    f"join ({ORACLES['business_lookup']}) k on a.geohash = k.geohash) t where tag <> '' "
+    "group by sessionid, tag"
+)

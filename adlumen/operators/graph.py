@@ -11,9 +11,9 @@ partition is split by AQE's skew-join handling.
 Vertex ids are strings.  They are first renumbered to longs in string
 order (range partitioning + per-partition increasing ids), so the rounds
 shuffle 8-byte keys and the component label -- the smallest member id -- is
-simply the smallest number.  Every round is cut from its lineage with a
-reliable ``checkpoint()`` into the cluster's checkpoint folder, so a lost
-executor only recomputes one round.
+simply the smallest number.  Every round is cut from its lineage by
+writing it as a Parquet table into the cluster's checkpoint folder, so a
+lost executor only recomputes part of one round.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlumen.session import checkpoint_dir
+from adlumen.session import drop_materialized, materialize
 
 # A safety net, not a result cap: rounds are O(log n); hitting this raises.
 MAX_ROUNDS = 200
@@ -32,7 +32,8 @@ def _large_star(e: DataFrame) -> DataFrame:
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     m = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     out = sym.join(m, "u").where(F.col("v") > F.col("u"))
-    return out.select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    # no distinct here: the output has at most |E| rows and small-star dedupes
+    return out.select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -45,10 +46,9 @@ def _small_star(e: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def _fingerprint(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)).alias("n"),
-              F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).collect()[0]
-    return (r["n"], r["h"])
+def _fingerprint_metrics():
+    return [F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
 
 
 def number_vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -61,13 +61,21 @@ def number_vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
 
 def connected_components_long(e: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` of longs -> ``(vid, cid)``, cid = smallest vid of the
-    component.  Vertices only in self loops are not returned (caller adds them)."""
+    component.  Vertices only in self loops are not returned (caller adds them).
+
+    Each round's edge list is written as a table in the checkpoint folder;
+    its (count, hash sum) is observed during that write, and the loop stops
+    when a round reproduces the previous edge set.
+    """
+    spark = e.sparkSession
     e = e.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
-    prev = _fingerprint(e)
-    for _ in range(MAX_ROUNDS):
-        e = _small_star(_large_star(e)).checkpoint()
-        cur = _fingerprint(e)
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    e, path, prev = materialize(e, "cc-edges", _fingerprint_metrics())
+    for i in range(MAX_ROUNDS):
+        nxt, nxt_path, cur = materialize(_small_star(_large_star(e)), f"cc-round{i}",
+                                         _fingerprint_metrics())
+        drop_materialized(spark, path)
+        e, path = nxt, nxt_path
         if cur == prev:
             break
         prev = cur
@@ -83,16 +91,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """Undirected edges of string ids -> ``(id, component)``.
 
     ``component`` is the smallest id of the component; every endpoint (also
-    of self loops) gets a row.
+    of self loops) gets a row.  Intermediate tables live in the session's
+    checkpoint folder; the vertex numbering and the last round stay there
+    because the returned (lazy) frame reads them.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    v = number_vertices(edges, src, dst).checkpoint()
-    va = v.select(F.col("id").alias("__s"), F.col("vid").alias("a"))
-    vb = v.select(F.col("id").alias("__d"), F.col("vid").alias("b"))
-    e = (edges.select(F.col(src).alias("__s"), F.col(dst).alias("__d"))
-              .join(va, "__s").join(vb, "__d").select("a", "b"))
+    # materialise the edge list once: it usually comes from a full log scan and
+    # is read three times below (range bounds, numbering, translation)
+    edges, edges_path, _ = materialize(
+        edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
+            F.col("src").isNotNull() & F.col("dst").isNotNull()), "cc-input")
+    v, _, _ = materialize(number_vertices(edges), "cc-vertices")
+    va = v.select(F.col("id").alias("src"), F.col("vid").alias("a"))
+    vb = v.select(F.col("id").alias("dst"), F.col("vid").alias("b"))
+    e = edges.join(va, "src").join(vb, "dst").select("a", "b")
     labels = connected_components_long(e)
+    drop_materialized(spark, edges_path)
     lab = v.join(labels, "vid", "left").select(
         "id", "vid", F.coalesce(F.col("cid"), F.col("vid")).alias("cid"))
     names = v.select(F.col("vid").alias("cid"), F.col("id").alias("component"))

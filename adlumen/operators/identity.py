@@ -29,9 +29,14 @@ def first_id(spec: Sequence[tuple[str, str]] = FIRST_ID_SPEC) -> Column:
 
 
 def all_ids(spec: Sequence[tuple[str, str]] = ALL_ID_SPEC) -> Column:
-    """Array of prefix + id for every non-blank id, in ``spec`` order."""
+    """Array of prefix + id for every non-blank id, in ``spec`` order.
+
+    Nulls are removed with ``array_except(arr, [null])`` (generated code, keeps
+    order); it would also drop repeats, which cannot occur since every
+    element carries its own column prefix.
+    """
     arr = F.array(*[F.when(not_blank(c), F.concat(F.lit(p), F.col(c))) for c, p in spec])
-    return F.filter(arr, lambda x: x.isNotNull())
+    return F.array_except(arr, F.array(F.lit(None).cast("string")))
 
 
 def id_edges(rows: DataFrame, ids: str = "ids") -> DataFrame:

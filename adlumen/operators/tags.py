@@ -26,7 +26,13 @@ from adlumen.schema import (
 
 
 def _compact(*items: Column) -> Column:
-    return F.filter(F.array(*items), lambda t: t.isNotNull())
+    """Array of the non-null items.
+
+    ``array_except`` with ``[null]`` drops the nulls in generated code (a
+    lambda ``filter`` would be evaluated interpreted, row by row).  It also
+    drops repeats, which cannot occur here: every item has its own prefix.
+    """
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
 
 
 def _code(c: Column, codes: dict, other: str) -> Column:
@@ -77,10 +83,23 @@ def location_tags(province: str = "provincename", city: str = "cityname") -> Col
     )
 
 
+def keyword_candidates(keywords: str = "keywords") -> Column:
+    """All ``|``-separated pieces of the keyword field (null -> [""])."""
+    return F.split(F.coalesce(F.col(keywords), F.lit("")), r"\|")
+
+
+def keyword_ok(word: Column) -> Column:
+    """A keyword counts when it has 3..8 characters (code points)."""
+    return F.length(word).between(KEYWORD_MIN_LEN, KEYWORD_MAX_LEN)
+
+
 def keyword_words(keywords: str = "keywords") -> Column:
-    """``|``-separated words of length 3..8 (code points); repeats kept; null -> []."""
-    words = F.split(F.coalesce(F.col(keywords), F.lit("")), r"\|")
-    return F.filter(words, lambda w: F.length(w).between(KEYWORD_MIN_LEN, KEYWORD_MAX_LEN))
+    """``|``-separated words of length 3..8; repeats kept; null -> [].
+
+    For row-level arrays; ``tags_long`` explodes ``keyword_candidates`` and
+    filters rows instead, which stays in generated code.
+    """
+    return F.filter(keyword_candidates(keywords), keyword_ok)
 
 
 def with_app_lookup(df: DataFrame, dictionary: DataFrame | None, *, appid: str = "appid",
@@ -113,7 +132,8 @@ def tags_long(df: DataFrame, keys: Sequence[str], *, dictionary: DataFrame | Non
     plain = base.select(*keys, F.explode(row_tags()).alias("tag"))
     parts = [plain]
     if include_keywords:
-        words = df.select(*keys, F.explode(keyword_words()).alias("word"))
+        words = df.select(*keys, F.explode(keyword_candidates()).alias("word"))
+        words = words.where(keyword_ok(F.col("word")))
         if stopwords is not None:
             words = drop_stopwords(words, stopwords, word="word")
         parts.append(words.select(*keys, F.concat(F.lit(TAG_KEYWORD), F.col("word")).alias("tag")))

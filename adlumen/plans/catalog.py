@@ -159,7 +159,8 @@ def tags_app(spark, sf_dir):
 @query
 def tags_keyword(spark, sf_dir):
     log = B.ad_log(spark, sf_dir)
-    words = log.select("sessionid", F.explode(TG.keyword_words()).alias("word"))
+    words = log.select("sessionid", F.explode(TG.keyword_candidates()).alias("word"))
+    words = words.where(TG.keyword_ok(F.col("word")))
     kept = drop_stopwords(words, B.stopwords(spark), word="word")
     tags = kept.select("sessionid", F.concat(F.lit("K"), F.col("word")).alias("tag"))
     return tags.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))

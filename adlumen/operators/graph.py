@@ -59,9 +59,10 @@ def number_vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     return ranged.withColumn("vid", F.monotonically_increasing_id())
 
 
-def connected_components_long(e: DataFrame) -> DataFrame:
+def connected_components_long(e: DataFrame) -> tuple[DataFrame, str]:
     """Edges ``(a, b)`` of longs -> ``(vid, cid)``, cid = smallest vid of the
-    component.  Vertices only in self loops are not returned (caller adds them).
+    component, plus the path of the last round's table (which the lazy result
+    reads).  Vertices only in self loops are not returned (caller adds them).
 
     Each round's edge list is written as a table in the checkpoint folder;
     its (count, hash sum) is observed during that write, and the loop stops
@@ -84,16 +85,16 @@ def connected_components_long(e: DataFrame) -> DataFrame:
     # converged: every component is a star around its smallest vertex
     sym = e.select(F.col("a").alias("vid"), F.col("b").alias("n")).unionByName(
         e.select(F.col("b").alias("vid"), F.col("a").alias("n")))
-    return sym.groupBy("vid").agg(F.least(F.min("n"), F.col("vid")).alias("cid"))
+    return sym.groupBy("vid").agg(F.least(F.min("n"), F.col("vid")).alias("cid")), path
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Undirected edges of string ids -> ``(id, component)``.
 
     ``component`` is the smallest id of the component; every endpoint (also
-    of self loops) gets a row.  Intermediate tables live in the session's
-    checkpoint folder; the vertex numbering and the last round stay there
-    because the returned (lazy) frame reads them.
+    of self loops) gets a row.  The result is returned as a table written in
+    the session's checkpoint folder (it is typically read more than once);
+    the intermediate tables are deleted.
     """
     spark = edges.sparkSession
     # materialise the edge list once: it usually comes from a full log scan and
@@ -101,16 +102,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     edges, edges_path, _ = materialize(
         edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
             F.col("src").isNotNull() & F.col("dst").isNotNull()), "cc-input")
-    v, _, _ = materialize(number_vertices(edges), "cc-vertices")
+    v, v_path, _ = materialize(number_vertices(edges), "cc-vertices")
     va = v.select(F.col("id").alias("src"), F.col("vid").alias("a"))
     vb = v.select(F.col("id").alias("dst"), F.col("vid").alias("b"))
     e = edges.join(va, "src").join(vb, "dst").select("a", "b")
-    labels = connected_components_long(e)
-    drop_materialized(spark, edges_path)
+    labels, last_path = connected_components_long(e)
     lab = v.join(labels, "vid", "left").select(
         "id", "vid", F.coalesce(F.col("cid"), F.col("vid")).alias("cid"))
     names = v.select(F.col("vid").alias("cid"), F.col("id").alias("component"))
-    return lab.join(names, "cid").select("id", "component")
+    out, _, _ = materialize(lab.join(names, "cid").select("id", "component"), "cc-labels")
+    for path in (edges_path, v_path, last_path):
+        drop_materialized(spark, path)
+    return out
 
 
 def verify_components(edges: DataFrame, labels: DataFrame, src: str = "src",

@@ -23,6 +23,16 @@ def has_any_id_in_bbox(cols: Sequence[str] = ID_COLUMNS, lng: str = "long", lat:
     return in_bbox(lng, lat, box) & has_any_id(cols)
 
 
+def has_usable_id(spec: Sequence[tuple[str, str]] = ALL_ID_SPEC) -> Column:
+    """Some id column is non-blank (whitespace-only ids do not count)."""
+    return reduce(lambda x, y: x | y, [not_blank(c) for c, _ in spec])
+
+
+def head_id(spec: Sequence[tuple[str, str]] = ALL_ID_SPEC) -> Column:
+    """First element of ``all_ids(spec)`` without building the array."""
+    return first_id(spec)
+
+
 def first_id(spec: Sequence[tuple[str, str]] = FIRST_ID_SPEC) -> Column:
     """Prefix + first non-blank id in ``spec`` order; null when none."""
     return F.coalesce(*[F.when(not_blank(c), F.concat(F.lit(p), F.col(c))) for c, p in spec])
@@ -42,6 +52,6 @@ def all_ids(spec: Sequence[tuple[str, str]] = ALL_ID_SPEC) -> Column:
 def id_edges(rows: DataFrame, ids: str = "ids") -> DataFrame:
     """Star edges ``(src, dst)``: a row's first id -> each of its ids (self loop
     included, so single-id rows are vertices too); distinct."""
-    return (rows.where(F.size(F.col(ids)) > 0)
-                .select(F.col(ids).getItem(0).alias("src"), F.explode(F.col(ids)).alias("dst"))
-                .distinct())
+    arr = F.col(ids)
+    # get() is null for an empty array, whose explode yields no row anyway
+    return rows.select(F.get(arr, 0).alias("src"), F.explode(arr).alias("dst")).distinct()

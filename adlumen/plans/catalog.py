@@ -182,7 +182,7 @@ def user_tag_lines(spark, sf_dir):
 
 @query
 def id_edges(spark, sf_dir):
-    return I.id_edges(P.id_rows(B.ad_log(spark, sf_dir)).select("ids"))
+    return P.id_edge_list(B.ad_log(spark, sf_dir))
 
 
 @query

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlumen.operators.graph import connected_components
-from adlumen.operators.identity import all_ids, first_id, has_any_id, id_edges
+from adlumen.operators.identity import (
+    all_ids, first_id, has_any_id, has_usable_id, head_id, id_edges,
+)
 from adlumen.operators.tags import merge_tags, tags_long
 
 ROW_KEY = "sessionid"
@@ -28,14 +30,19 @@ def user_tags(log: DataFrame, *, dictionary: DataFrame | None = None,
 
 
 def id_rows(log: DataFrame) -> DataFrame:
-    """Rows with at least one usable id, with ``ids`` and the head id ``head``."""
-    rows = log.where(has_any_id()).withColumn("ids", all_ids()).where(F.size("ids") > 0)
-    return rows.withColumn("head", F.col("ids").getItem(0))
+    """Rows with at least one usable id, with the head id ``head`` (the first
+    of the row's ids).  The cheap ``has_any_id`` part is pushed to the scan."""
+    return log.where(has_any_id() & has_usable_id()).withColumn("head", head_id())
+
+
+def id_edge_list(log: DataFrame) -> DataFrame:
+    """Star edges of every log row (``src`` = head id, ``dst`` = each id)."""
+    return id_edges(id_rows(log).select(all_ids().alias("ids")))
 
 
 def person_graph(log: DataFrame) -> DataFrame:
     """``(id, component)`` for every id seen in the log."""
-    return connected_components(id_edges(id_rows(log).select("ids")))
+    return connected_components(id_edge_list(log))
 
 
 def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
@@ -49,7 +56,7 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
     """
     rows = id_rows(log)
     if labels is None:
-        labels = connected_components(id_edges(rows.select("ids")))
+        labels = person_graph(log)
     long = tags_long(rows, ["head"], dictionary=dictionary, stopwords=stopwords)
     per_head = long.groupBy("head", "tag").agg(F.count(F.lit(1)).alias("w"))
     lab = labels.select(F.col("id").alias("head"), "component")

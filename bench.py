@@ -23,7 +23,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from adlumen.operators.geo import build_business_lookup  # noqa: E402
 from adlumen.operators.graph import connected_components  # noqa: E402
-from adlumen.operators.identity import id_edges  # noqa: E402
 from adlumen.plans import profiles, reports  # noqa: E402
 from adlumen.session import local_session  # noqa: E402
 from adlumen.sources import bindings as B  # noqa: E402
@@ -65,7 +64,7 @@ def build_queries(spark, p):
         "etl_parse_log": lambda: parse_log(read_raw_lines(spark, p["lines"]))[0],
         "user_tags": lambda: profiles.user_tags(log(), dictionary=dic(), stopwords=stop()),
         "connected_components": lambda: connected_components(
-            id_edges(profiles.id_rows(log()).select("ids"))),
+            profiles.id_edge_list(log())),
         "person_profiles": lambda: profiles.person_profiles(log(), dictionary=dic(), stopwords=stop()),
         "business_lookup": lambda: build_business_lookup(
             log().select("long", "lat"), spark.read.parquet(p["responses"])),

@@ -25,27 +25,57 @@ from adlumen.session import drop_materialized, materialize
 
 # A safety net, not a result cap: rounds are O(log n); hitting this raises.
 MAX_ROUNDS = 200
+# Vertices with more incident edges than this are joined map-side (see
+# _split_hot_join); the threshold is raised with the edge count so that at
+# most MAX_HOT_KEYS vertices are ever broadcast.
+HOT_DEGREE_MIN = 100_000
+MAX_HOT_KEYS = 1_000_000
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _split_hot_join(pairs: DataFrame, stats: DataFrame, hot_degree: int) -> DataFrame:
+    """``pairs(u, v) JOIN stats(u, m, deg) ON u`` without a hot shuffle partition.
+
+    Vertices with more than ``hot_degree`` pairs are joined map-side against
+    a broadcast of just their ``(u, m)`` rows -- at most |pairs| / hot_degree
+    rows, so the broadcast is bounded by construction; all other pairs go
+    through an ordinary shuffle join, from which the hot keys are removed
+    first (a broadcast anti join), so no reducer receives a hub's pairs.
+    """
+    hot = stats.where(F.col("deg") > hot_degree).select("u", "m")
+    cold = stats.where(F.col("deg") <= hot_degree).select("u", "m")
+    hot_part = pairs.join(F.broadcast(hot), "u")
+    cold_pairs = pairs.join(F.broadcast(hot.select("u")), "u", "left_anti")
+    return hot_part.unionByName(cold_pairs.join(cold, "u"))
+
+
+def _large_star(e: DataFrame, hot_degree: int) -> DataFrame:
     sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    m = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    out = sym.join(m, "u").where(F.col("v") > F.col("u"))
+    stats = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                 F.count(F.lit(1)).alias("deg"))
+    out = _split_hot_join(sym, stats, hot_degree).where(F.col("v") > F.col("u"))
     # no distinct here: the output has at most |E| rows and small-star dedupes
     return out.select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, hot_degree: int) -> DataFrame:
     o = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(
         F.col("u") != F.col("v"))
-    m = o.groupBy("u").agg(F.min("v").alias("m"))
-    to_min = o.join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    hub = m.select(F.col("u").alias("a"), F.col("m").alias("b"))
+    stats = o.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("deg"))
+    to_min = _split_hot_join(o, stats, hot_degree).select(
+        F.col("v").alias("a"), F.col("m").alias("b"))
+    hub = stats.select(F.col("u").alias("a"), F.col("m").alias("b"))
     out = to_min.unionByName(hub).where(F.col("a") != F.col("b"))
     return out.distinct()
 
 
+def _hot_degree(n_edges: int, hot_degree: int | None) -> int:
+    if hot_degree is not None:
+        return hot_degree
+    # keys above the threshold number at most 2 * n_edges / threshold
+    return max(HOT_DEGREE_MIN, -(-2 * n_edges // MAX_HOT_KEYS))
+
+
 def _fingerprint_metrics():
     return [F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
@@ -55,11 +85,14 @@ def number_vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     """Distinct vertex ids -> ``(id, vid)`` with vid increasing in id order."""
     ids = edges.select(F.col(src).alias("id")).unionByName(edges.select(F.col(dst).alias("id")))
     ids = ids.where(F.col("id").isNotNull())
-    ranged = ids.repartitionByRange("id").distinct().sortWithinPartitions("id")
+    # dedupe first (partial aggregation collapses a hub's many copies map-side),
+    # then range-partition so that ids increase across and within partitions
+    ranged = ids.distinct().repartitionByRange("id").sortWithinPartitions("id")
     return ranged.withColumn("vid", F.monotonically_increasing_id())
 
 
-def connected_components_long(e: DataFrame) -> tuple[DataFrame, str]:
+def connected_components_long(e: DataFrame,
+                              hot_degree: int | None = None) -> tuple[DataFrame, str]:
     """Edges ``(a, b)`` of longs -> ``(vid, cid)``, cid = smallest vid of the
     component, plus the path of the last round's table (which the lazy result
     reads).  Vertices only in self loops are not returned (caller adds them).
@@ -73,7 +106,8 @@ def connected_components_long(e: DataFrame) -> tuple[DataFrame, str]:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e, path, prev = materialize(e, "cc-edges", _fingerprint_metrics())
     for i in range(MAX_ROUNDS):
-        nxt, nxt_path, cur = materialize(_small_star(_large_star(e)), f"cc-round{i}",
+        hot = _hot_degree(prev["n"], hot_degree)
+        nxt, nxt_path, cur = materialize(_small_star(_large_star(e, hot), hot), f"cc-round{i}",
                                          _fingerprint_metrics())
         drop_materialized(spark, path)
         e, path = nxt, nxt_path
@@ -88,7 +122,8 @@ def connected_components_long(e: DataFrame) -> tuple[DataFrame, str]:
     return sym.groupBy("vid").agg(F.least(F.min("n"), F.col("vid")).alias("cid")), path
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", *,
+                         hot_degree: int | None = None) -> DataFrame:
     """Undirected edges of string ids -> ``(id, component)``.
 
     ``component`` is the smallest id of the component; every endpoint (also
@@ -106,7 +141,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     va = v.select(F.col("id").alias("src"), F.col("vid").alias("a"))
     vb = v.select(F.col("id").alias("dst"), F.col("vid").alias("b"))
     e = edges.join(va, "src").join(vb, "dst").select("a", "b")
-    labels, last_path = connected_components_long(e)
+    labels, last_path = connected_components_long(e, hot_degree)
     lab = v.join(labels, "vid", "left").select(
         "id", "vid", F.coalesce(F.col("cid"), F.col("vid")).alias("cid"))
     names = v.select(F.col("vid").alias("cid"), F.col("id").alias("component"))

@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlumen.operators.graph import connected_components
-from adlumen.operators.identity import (
-    all_ids, first_id, has_any_id, has_usable_id, head_id, id_edges,
-)
+from adlumen.operators.identity import all_ids, first_id, has_any_id, head_id, id_edges
 from adlumen.operators.tags import merge_tags, tags_long
 
 ROW_KEY = "sessionid"
@@ -31,13 +29,16 @@ def user_tags(log: DataFrame, *, dictionary: DataFrame | None = None,
 
 def id_rows(log: DataFrame) -> DataFrame:
     """Rows with at least one usable id, with the head id ``head`` (the first
-    of the row's ids).  The cheap ``has_any_id`` part is pushed to the scan."""
-    return log.where(has_any_id() & has_usable_id()).withColumn("head", head_id())
+    of the row's ids).  The cheap ``has_any_id`` part is pushed to the scan;
+    rows whose ids are all whitespace have no head and are dropped."""
+    rows = log.where(has_any_id()).withColumn("head", head_id())
+    return rows.where(F.col("head").isNotNull())
 
 
 def id_edge_list(log: DataFrame) -> DataFrame:
-    """Star edges of every log row (``src`` = head id, ``dst`` = each id)."""
-    return id_edges(id_rows(log).select(all_ids().alias("ids")))
+    """Star edges of every log row (``src`` = head id, ``dst`` = each id);
+    a row without usable ids has an empty id array and yields no edge."""
+    return id_edges(log.where(has_any_id()).select(all_ids().alias("ids")))
 
 
 def person_graph(log: DataFrame) -> DataFrame:

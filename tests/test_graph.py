@@ -25,9 +25,9 @@ def _union_find(edges):
     return {v: min(vs) for vs in comp.values() for v in vs}
 
 
-def _labels(spark, edges):
+def _labels(spark, edges, hot_degree=None):
     df = spark.createDataFrame(edges, "src string, dst string")
-    lab = connected_components(df)
+    lab = connected_components(df, hot_degree=hot_degree)
     assert verify_components(df, lab) == 0
     return {r.id: r.component for r in lab.collect()}
 
@@ -70,7 +70,10 @@ def test_skewed_hub_and_long_path(spark):
     rnd.shuffle(path)
     other = [(f"x{rnd.randint(0, 2000):05d}", f"x{rnd.randint(0, 2000):05d}") for _ in range(1500)]
     edges = hub + path + other
-    assert _labels(spark, edges) == _union_find(edges)
+    expected = _union_find(edges)
+    assert _labels(spark, edges) == expected
+    # force the hot-vertex split: the hub (and a few more) are joined map-side
+    assert _labels(spark, edges, hot_degree=50) == expected
 
 
 def test_members_and_sizes(spark):

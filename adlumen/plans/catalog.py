@@ -74,6 +74,21 @@ def funnel_app_null_default(spark, sf_dir):
                               default=None, money_scale=MONEY_SCALE)
 
 
+@query
+def funnel_location_sql(spark, sf_dir):
+    """The cumulative funnel as SQL text over a temp view."""
+    return reports.location_report_sql(spark, B.ad_log(spark, sf_dir), view="ad_log_view",
+                                       money_scale=MONEY_SCALE)
+
+
+@query
+def funnel_app_from_text(spark, sf_dir):
+    """App funnel straight from raw log lines; unknown ids stay null."""
+    log, _ = parse_log(B.raw_log_lines(spark, sf_dir))
+    return reports.app_report(log, _dictionary(spark, sf_dir, strict=True), default=None,
+                              money_scale=MONEY_SCALE)
+
+
 @query
 def app_dictionary(spark, sf_dir):
     return _dictionary(spark, sf_dir, strict=False)
@@ -172,6 +187,13 @@ def user_tags(spark, sf_dir):
                        stopwords=B.stopwords(spark))
 
 
+@query
+def user_tags_with_business(spark, sf_dir):
+    return P.user_tags(B.ad_log(spark, sf_dir), dictionary=_dictionary(spark, sf_dir),
+                       stopwords=B.stopwords(spark),
+                       business_lookup=business_lookup(spark, sf_dir))
+
+
 @query
 def user_tag_lines(spark, sf_dir):
     merged = user_tags(spark, sf_dir)

@@ -91,6 +91,7 @@ def _app_funnel(default_sql: str) -> str:
     )
 
 
+ORACLES["funnel_location_sql"] = ORACLES["funnel_location_cumulative"]
 ORACLES["funnel_app_unknown_default"] = _app_funnel("'unknow'")
 ORACLES["funnel_app_key_default"] = _app_funnel("l.appid")
 ORACLES["funnel_app_null_default"] = _app_funnel("null")
@@ -314,3 +315,23 @@ ORACLES["tags_business"] = (
     f"join ({ORACLES['business_lookup']}) k on a.geohash = k.geohash) t where tag <> '' "
     "group by sessionid, tag"
 )
+
+# --- raw-text app funnel and tags with business areas ---------------------------------
+
+_PARSED = f"({ORACLES['etl_parse_log']})"
+ORACLES["funnel_app_from_text"] = (
+    "select appname, " + ", ".join(funnel_sql("exclusive"))
+    + f" from (select case when {blank('l.appname')} then d.value else l.appname end as appname, "
+    "requestmode, processnode, iseffective, isbilling, isbid, iswin, adorderid, winprice, "
+    f"adpayment from {_PARSED} l left join ({_dictionary_sql(True)}) d on l.appid = d.key) x "
+    "group by appname"
+)
+
+_BIZ_TAGS = (
+    f"select u.user_id, unnest(string_split(k.business, ';')) as tag from (select user_id, "
+    f"{geohash_sql('long', 'lat')} as geohash from {_USERS} u0 where {in_bbox_sql(BUSINESS_BBOX)}) u "
+    f"join ({ORACLES['business_lookup']}) k on u.geohash = k.geohash"
+)
+ORACLES["user_tags_with_business"] = _counted(
+    _tag_rows(_USERS, "user_id") + f" union all select * from ({_BIZ_TAGS}) b where tag <> ''",
+    "user_id")

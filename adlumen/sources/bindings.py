@@ -210,8 +210,28 @@ def app_dictionary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binding(spark, sf_dir, "app_dictionary_lines")
 
 
+_TEXT_TABLES: dict[tuple, str] = {}
+
+
 def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binding(spark, sf_dir, "raw_log_lines")
+    """Raw log lines as a text table, as a deployment receives them.
+
+    The lines are written once per session and tables folder into the
+    checkpoint folder and read back with ``spark.read.text``, so parsers see
+    a plain ``value`` column (as with real log files) rather than the very
+    large expression that builds each line.
+    """
+    from adlumen.session import checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _TEXT_TABLES.get(key)
+    if path is None:
+        import uuid
+
+        path = f"{checkpoint_dir(spark).rstrip('/')}/adlumen-raw-lines-{uuid.uuid4().hex}"
+        binding(spark, sf_dir, "raw_log_lines").write.text(path)
+        _TEXT_TABLES[key] = path
+    return spark.read.text(path)
 
 
 def stopwords(spark: SparkSession, words=("cold", "bolt")) -> DataFrame:

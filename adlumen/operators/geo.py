@@ -87,6 +87,9 @@ def business_tag_words(df: DataFrame, lookup: DataFrame, *, lng: str = "long", l
     """
     pts = df.select(*keep, lng, lat).where(in_bbox(lng, lat))
     pts = pts.select(*keep, point_geohash(F.col(lng), F.col(lat), precision).alias("__gh"))
+    from adlumen.operators.lookup import lookup_side
+
+    lookup = lookup_side(lookup.select("geohash", "business"))
     joined = pts.join(lookup, pts["__gh"] == lookup["geohash"])
     words = joined.select(*keep, F.explode(F.split(F.col("business"), ";")).alias("tag"))
     return words.where(F.col("tag") != "")

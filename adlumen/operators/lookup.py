@@ -1,8 +1,11 @@
 """Keyed lookups: dictionary fill and stop-word removal.
 
 Small sides are broadcast only after a bounded size check (``limit(n+1)``
-count, which stops reading once the bound is passed); beyond the bound the
-join is left to Spark's shuffle join (AQE may still switch it at runtime).
+count, which stops reading once the bound is passed).  Beyond the bound the
+lookup is written as a table in the checkpoint folder and joined with a
+shuffle join: with both inputs plain scans, AQE's skew-join handling can
+split a hot key of the big side (one app or place holding a third of all
+rows) across tasks; an aggregate feeding the join directly would prevent it.
 """
 
 from __future__ import annotations
@@ -26,6 +29,16 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Prepare the small side of a lookup join: broadcast when proven small,
+    otherwise a materialised table (so AQE can split skewed keys)."""
+    if fits_broadcast(df, max_rows):
+        return F.broadcast(df)
+    from adlumen.session import materialize
+
+    return materialize(df, "lookup")[0]
+
+
 def fill_from_dictionary(df: DataFrame, dictionary: DataFrame, *, target: str = "appname",
                          key: str = "appid", dict_key: str = "key", dict_value: str = "value",
                          default: Column | str | None = None,
@@ -40,7 +53,7 @@ def fill_from_dictionary(df: DataFrame, dictionary: DataFrame, *, target: str =
     if isinstance(default, str):
         default = F.lit(default)
     lk = dictionary.select(F.col(dict_key).alias("__k"), F.col(dict_value).alias("__v"))
-    lk = sized_broadcast(lk, broadcast_rows)
+    lk = lookup_side(lk, broadcast_rows)
     joined = df.join(lk, df[key] == lk["__k"], "left")
     found = F.col("__v") if default is None else F.coalesce(F.col("__v"), default)
     filled = F.when(is_blank(F.col(target)), found).otherwise(F.col(target))
@@ -53,5 +66,5 @@ def drop_stopwords(words: DataFrame, stopwords: DataFrame, *, word: str = "word"
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``words`` whose ``word`` is not in the stop list (left-anti join)."""
     stop = stopwords.select(F.col(stop_col).alias("__w")).distinct()
-    stop = sized_broadcast(stop, broadcast_rows)
+    stop = lookup_side(stop, broadcast_rows)
     return words.join(stop, words[word] == stop["__w"], "left_anti")

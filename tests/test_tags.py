@@ -73,3 +73,15 @@ def test_user_tags_merge_and_weight_conservation(spark):
     df = log_rows(spark, rows[:3])
     per_row = df.select(F.size(TG.row_tags(dict_name=None)).alias("n")).groupBy().sum("n").collect()[0][0]
     assert sum(got.values()) == per_row
+
+
+def test_large_lookup_side_is_materialised_not_broadcast(spark):
+    from adlumen.operators.lookup import fill_from_dictionary
+
+    log = log_rows(spark, [dict(sessionid=str(i), appid=str(i % 3), appname="") for i in range(30)])
+    d = spark.createDataFrame([(str(i), f"N{i}") for i in range(3)], "key string, value string")
+    big = fill_from_dictionary(log, d, broadcast_rows=2)   # 3 rows > bound: no broadcast
+    small = fill_from_dictionary(log, d)
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "adlumen-loo" in plan   # read from the materialised table
+    assert sorted(big.select("appname").collect()) == sorted(small.select("appname").collect())

@@ -118,6 +118,26 @@ def row_tags(dict_name: str | None = "__dict_app") -> Column:
     return F.concat(ad_tags(), location_tags(), device_tags(), app_tags(dict_name=dict_name))
 
 
+def _row_tag_items(dict_name: str | None = "__dict_app") -> Column:
+    """The same tags as ``row_tags`` in one flat array, with nulls for absent
+    tags (exploded and filtered in ``tags_long``: no per-row array merging)."""
+    v = F.col("adspacetype")
+    fallback = F.coalesce(F.col(dict_name), F.col("appid")) if dict_name else F.col("appid")
+    return F.array(
+        F.when(v > 9, F.concat(F.lit(TAG_AD_SLOT), v.cast("string")))
+         .when(v > 0, F.concat(F.lit(TAG_AD_SLOT + "0"), v.cast("string"))),
+        F.when(not_blank("adspacetypename"), F.concat(F.lit(TAG_AD_SLOT_NAME), F.col("adspacetypename"))),
+        F.concat(F.lit(TAG_CHANNEL), F.coalesce(F.col("adplatformproviderid"), F.lit(0)).cast("string")),
+        F.when(not_blank("provincename"), F.concat(F.lit(TAG_PROVINCE), F.col("provincename"))),
+        F.when(not_blank("cityname"), F.concat(F.lit(TAG_CITY), F.col("cityname"))),
+        _code(F.coalesce(F.col("client"), F.lit(0)), OS_CODES, OS_OTHER),
+        _code(F.col("networkmannername"), NETWORK_CODES, NETWORK_OTHER),
+        _code(F.col("ispname"), CARRIER_CODES, CARRIER_OTHER),
+        F.when(not_blank("appname"), F.concat(F.lit(TAG_APP), F.col("appname")))
+         .when(not_blank("appid"), F.concat(F.lit(TAG_APP), fallback)),
+    )
+
+
 def tags_long(df: DataFrame, keys: Sequence[str], *, dictionary: DataFrame | None = None,
               stopwords: DataFrame | None = None, business_lookup: DataFrame | None = None,
               include_keywords: bool = True) -> DataFrame:
@@ -129,7 +149,8 @@ def tags_long(df: DataFrame, keys: Sequence[str], *, dictionary: DataFrame | Non
     """
     keys = list(keys)
     base = with_app_lookup(df, dictionary)
-    plain = base.select(*keys, F.explode(row_tags()).alias("tag"))
+    plain = base.select(*keys, F.explode(_row_tag_items()).alias("tag")).where(
+        F.col("tag").isNotNull())
     parts = [plain]
     if include_keywords:
         words = df.select(*keys, F.explode(keyword_candidates()).alias("word"))

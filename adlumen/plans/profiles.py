@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adlumen.operators.graph import connected_components
 from adlumen.operators.identity import all_ids, first_id, has_any_id, head_id, id_edges
+from adlumen.operators.lookup import DEFAULT_BROADCAST_ROWS, fits_broadcast
 from adlumen.operators.tags import merge_tags, tags_long
 
 ROW_KEY = "sessionid"
@@ -48,7 +49,8 @@ def person_graph(log: DataFrame) -> DataFrame:
 
 def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
                     stopwords: DataFrame | None = None,
-                    labels: DataFrame | None = None) -> DataFrame:
+                    labels: DataFrame | None = None,
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Long-form person profiles ``(component, entry, weight)``.
 
     A person is a connected component of ids that co-occur in a row.  Each
@@ -58,10 +60,18 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
     rows = id_rows(log)
     if labels is None:
         labels = person_graph(log)
-    long = tags_long(rows, ["head"], dictionary=dictionary, stopwords=stopwords)
-    per_head = long.groupBy("head", "tag").agg(F.count(F.lit(1)).alias("w"))
     lab = labels.select(F.col("id").alias("head"), "component")
-    tagged = (per_head.join(lab, "head").groupBy("component", "tag")
-                      .agg(F.sum("w").cast("int").alias("weight")))
+    if fits_broadcast(lab, broadcast_rows):
+        # small id table: label every row map-side, then one aggregation
+        labelled = rows.join(F.broadcast(lab), "head")
+        long = tags_long(labelled, ["component"], dictionary=dictionary, stopwords=stopwords)
+        tagged = long.groupBy("component", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+    else:
+        # large id table: pre-aggregate per head id (a hot head collapses to
+        # one row per tag) before the shuffle join, then sum per person
+        long = tags_long(rows, ["head"], dictionary=dictionary, stopwords=stopwords)
+        per_head = long.groupBy("head", "tag").agg(F.count(F.lit(1)).alias("w"))
+        tagged = (per_head.join(lab, "head").groupBy("component", "tag")
+                          .agg(F.sum("w").cast("int").alias("weight")))
     ids = labels.select("component", F.col("id").alias("entry"), F.lit(0).alias("weight"))
     return tagged.select("component", F.col("tag").alias("entry"), "weight").unionByName(ids)

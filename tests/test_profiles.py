@@ -2,11 +2,15 @@ from adlumen.plans.profiles import person_profiles
 from conftest import log_rows
 
 
-def test_rows_sharing_an_id_merge_into_one_person(spark):
+import pytest
+
+
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 1])
+def test_rows_sharing_an_id_merge_into_one_person(spark, broadcast_rows):
     rows = [dict(sessionid="A", imei="x", mac="y", adplatformproviderid=1),
             dict(sessionid="B", imei="z", mac="y", adplatformproviderid=1),
             dict(sessionid="C", imei="w", adplatformproviderid=2)]
-    out = person_profiles(log_rows(spark, rows)).collect()
+    out = person_profiles(log_rows(spark, rows), broadcast_rows=broadcast_rows).collect()
     comps = {}
     for r in out:
         comps.setdefault(r.component, {})[r.entry] = r.weight

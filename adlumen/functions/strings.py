@@ -21,14 +21,18 @@ _GOOD_SPECIAL_RE = r"^\s*([+-]?Infinity|NaN)\s*$"
 
 
 def is_blank(c) -> Column:
-    """True for null, empty or whitespace-only strings."""
+    """True for null, empty or whitespace-only strings.
+
+    The equality test comes first so that the common empty value is decided
+    without running the regular expression (generated code short-circuits).
+    """
     c = as_col(c)
-    return c.isNull() | c.rlike(_BLANK_RE)
+    return c.isNull() | (c == F.lit("")) | c.rlike(_BLANK_RE)
 
 
 def not_blank(c) -> Column:
     c = as_col(c)
-    return c.isNotNull() & ~c.rlike(_BLANK_RE)
+    return c.isNotNull() & (c != F.lit("")) & ~c.rlike(_BLANK_RE)
 
 
 def to_int_or_zero(c) -> Column:
@@ -41,7 +45,9 @@ def to_int_or_zero(c) -> Column:
 def to_double_or_zero(c) -> Column:
     """Parse a double; unparsable text -> 0.0."""
     c = as_col(c)
-    blocked = c.rlike(_BAD_SPECIAL_RE) & ~c.rlike(_GOOD_SPECIAL_RE)
+    # every special spelling contains an "n"; plain numbers skip both regexes
+    maybe_special = c.contains("n") | c.contains("N")
+    blocked = maybe_special & c.rlike(_BAD_SPECIAL_RE) & ~c.rlike(_GOOD_SPECIAL_RE)
     parsed = F.when(~blocked, c.try_cast("double"))
     return F.coalesce(parsed, F.lit(0.0))
 

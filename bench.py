@@ -19,7 +19,6 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from adlumen.operators.geo import build_business_lookup  # noqa: E402
 from adlumen.operators.graph import connected_components  # noqa: E402

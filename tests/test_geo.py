@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from adlumen.operators.geo import (
     build_business_lookup, business_tag_words, in_bbox, in_box_points, parse_business,

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from adlumen.operators.identity import all_ids, first_id, has_any_id, id_edges
 from conftest import log_rows

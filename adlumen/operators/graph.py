@@ -32,7 +32,7 @@ HOT_DEGREE_MIN = 100_000
 MAX_HOT_KEYS = 1_000_000
 
 
-def _split_hot_join(pairs: DataFrame, stats: DataFrame, hot_degree: int) -> DataFrame:
+def _split_hot_join(pairs: DataFrame, stats: DataFrame, hot_degree: int | None) -> DataFrame:
     """``pairs(u, v) JOIN stats(u, m, deg) ON u`` without a hot shuffle partition.
 
     Vertices with more than ``hot_degree`` pairs are joined map-side against
@@ -40,7 +40,10 @@ def _split_hot_join(pairs: DataFrame, stats: DataFrame, hot_degree: int) -> Data
     rows, so the broadcast is bounded by construction; all other pairs go
     through an ordinary shuffle join, from which the hot keys are removed
     first (a broadcast anti join), so no reducer receives a hub's pairs.
+    ``hot_degree=None`` means no vertex can be hot: a plain join.
     """
+    if hot_degree is None:
+        return pairs.join(stats.select("u", "m"), "u")
     hot = stats.where(F.col("deg") > hot_degree).select("u", "m")
     cold = stats.where(F.col("deg") <= hot_degree).select("u", "m")
     hot_part = pairs.join(F.broadcast(hot), "u")
@@ -48,7 +51,7 @@ def _split_hot_join(pairs: DataFrame, stats: DataFrame, hot_degree: int) -> Data
     return hot_part.unionByName(cold_pairs.join(cold, "u"))
 
 
-def _large_star(e: DataFrame, hot_degree: int) -> DataFrame:
+def _large_star(e: DataFrame, hot_degree: int | None) -> DataFrame:
     sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     stats = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
@@ -58,7 +61,7 @@ def _large_star(e: DataFrame, hot_degree: int) -> DataFrame:
     return out.select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(e: DataFrame, hot_degree: int) -> DataFrame:
+def _small_star(e: DataFrame, hot_degree: int | None) -> DataFrame:
     o = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(
         F.col("u") != F.col("v"))
     stats = o.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("deg"))
@@ -69,11 +72,13 @@ def _small_star(e: DataFrame, hot_degree: int) -> DataFrame:
     return out.distinct()
 
 
-def _hot_degree(n_edges: int, hot_degree: int | None) -> int:
-    if hot_degree is not None:
-        return hot_degree
-    # keys above the threshold number at most 2 * n_edges / threshold
-    return max(HOT_DEGREE_MIN, -(-2 * n_edges // MAX_HOT_KEYS))
+def _hot_degree(n_edges: int, hot_degree: int | None) -> int | None:
+    """Degree above which a vertex is joined map-side, or None when no vertex
+    can reach it (a vertex has at most ``n_edges`` incident edges)."""
+    if hot_degree is None:
+        # keys above the threshold number at most 2 * n_edges / threshold
+        hot_degree = max(HOT_DEGREE_MIN, -(-2 * n_edges // MAX_HOT_KEYS))
+    return hot_degree if n_edges > hot_degree else None
 
 
 def _fingerprint_metrics():

@@ -50,6 +50,7 @@ def person_graph(log: DataFrame) -> DataFrame:
 def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
                     stopwords: DataFrame | None = None,
                     labels: DataFrame | None = None,
+                    business_lookup: DataFrame | None = None,
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Long-form person profiles ``(component, entry, weight)``.
 
@@ -64,12 +65,14 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
     if fits_broadcast(lab, broadcast_rows):
         # small id table: label every row map-side, then one aggregation
         labelled = rows.join(F.broadcast(lab), "head")
-        long = tags_long(labelled, ["component"], dictionary=dictionary, stopwords=stopwords)
+        long = tags_long(labelled, ["component"], dictionary=dictionary, stopwords=stopwords,
+                         business_lookup=business_lookup)
         tagged = long.groupBy("component", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
     else:
         # large id table: pre-aggregate per head id (a hot head collapses to
         # one row per tag) before the shuffle join, then sum per person
-        long = tags_long(rows, ["head"], dictionary=dictionary, stopwords=stopwords)
+        long = tags_long(rows, ["head"], dictionary=dictionary, stopwords=stopwords,
+                         business_lookup=business_lookup)
         per_head = long.groupBy("head", "tag").agg(F.count(F.lit(1)).alias("w"))
         tagged = (per_head.join(lab, "head").groupBy("component", "tag")
                           .agg(F.sum("w").cast("int").alias("weight")))

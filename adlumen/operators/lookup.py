@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from adlumen.functions.strings import is_blank
 
-# Rows a lookup side may have and still be broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows a lookup side may have and still be broadcast (short string keys and
+# values: tens of MB as a hash relation on every executor).
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:

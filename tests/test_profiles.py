@@ -5,7 +5,7 @@ from conftest import log_rows
 import pytest
 
 
-@pytest.mark.parametrize("broadcast_rows", [2_000_000, 1])
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 1])
 def test_rows_sharing_an_id_merge_into_one_person(spark, broadcast_rows):
     rows = [dict(sessionid="A", imei="x", mac="y", adplatformproviderid=1),
             dict(sessionid="B", imei="z", mac="y", adplatformproviderid=1),

@@ -38,8 +38,14 @@ def id_rows(log: DataFrame) -> DataFrame:
 
 def id_edge_list(log: DataFrame) -> DataFrame:
     """Star edges of every log row (``src`` = head id, ``dst`` = each id);
-    a row without usable ids has an empty id array and yields no edge."""
-    return id_edges(log.where(has_any_id()).select(all_ids().alias("ids")))
+    a row without usable ids has an empty id array and yields no edge.
+
+    Rows repeat the same id set on every request, so id sets are made
+    distinct first (partial aggregation collapses repeats, a hot set too,
+    before anything is shuffled) and only distinct sets are exploded.
+    """
+    ids = log.where(has_any_id()).select(all_ids().alias("ids")).distinct()
+    return id_edges(ids)
 
 
 def person_graph(log: DataFrame) -> DataFrame:

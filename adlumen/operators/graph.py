@@ -121,10 +121,10 @@ def connected_components_long(e: DataFrame,
         prev = cur
     else:
         raise RuntimeError("connected components did not converge")
-    # converged: every component is a star around its smallest vertex
-    sym = e.select(F.col("a").alias("vid"), F.col("b").alias("n")).unionByName(
-        e.select(F.col("b").alias("vid"), F.col("a").alias("n")))
-    return sym.groupBy("vid").agg(F.least(F.min("n"), F.col("vid")).alias("cid")), path
+    # converged: a forest of stars, each edge (leaf, centre) with the centre
+    # the component's smallest vertex -- every leaf has exactly one edge, which
+    # is its label; centres (and vertices without edges) label themselves
+    return e.select(F.col("a").alias("vid"), F.col("b").alias("cid")), path
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", *,

@@ -5,8 +5,10 @@ each round is a few group-by-min aggregates and equi-joins over the edge
 list, the number of rounds grows with log(n) rather than with the graph
 diameter, and a hub vertex is handled by a per-vertex ``min`` (partial
 aggregation) instead of collecting its neighbours, so a vertex holding a
-third of all edges does not end up in one task's memory; the hub's join
-partition is split by AQE's skew-join handling.
+third of all edges does not end up in one task's memory.  The join of the
+edges with those per-vertex minima is split (``_split_hot_join``): hub
+vertices are joined map-side against a broadcast bounded by construction,
+the rest by a shuffle join that never sees a hub.
 
 Vertex ids are strings.  They are first renumbered to longs in string
 order (range partitioning + per-partition increasing ids), so the rounds

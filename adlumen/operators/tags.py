@@ -3,10 +3,11 @@
 A generator is a function returning a Column of ``array<string>``: the tags
 one log row contributes, each with weight 1.  Generators are pure
 expressions (no UDF) and are combined with ``concat``.  Two sources need a
-lookup table and are therefore applied on the DataFrame in *long form*
-(one row per tag occurrence): app names (dictionary) and keywords (stop
-list).  Merging sums weights per (user, tag) with a partial + final
-aggregate, so a heavy user is pre-summed in every task before the shuffle.
+lookup table: app names get the dictionary value as an extra column (a
+left join per row), keywords are checked against the stop list in *long
+form* (one row per word, anti join).  Merging sums weights per (user, tag)
+with a partial + final aggregate, so a heavy user is pre-summed in every
+task before the shuffle.
 """
 
 from __future__ import annotations
@@ -143,9 +144,10 @@ def tags_long(df: DataFrame, keys: Sequence[str], *, dictionary: DataFrame | Non
               include_keywords: bool = True) -> DataFrame:
     """One row ``(keys..., tag)`` per tag occurrence of every input row.
 
-    Ad, location, device and app tags come from one projection; keywords are
-    exploded and stop words removed with a (size-checked) broadcast anti
-    join; business-area tags are added when a lookup is given.
+    Ad, location, device and app tags come from one projection and one
+    explode; keywords are exploded separately and stop words removed with an
+    anti join (broadcast when the list is proven small, see
+    ``operators.lookup``); business-area tags are added when a lookup is given.
     """
     keys = list(keys)
     base = with_app_lookup(df, dictionary)

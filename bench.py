@@ -82,16 +82,22 @@ def main():
     t0 = time.perf_counter()
     paths = prepare(spark, scratch)
     prep = time.perf_counter() - t0
-    times, rows = {}, {}
+    times, rows, errors = {}, {}, {}
     for name, fn in build_queries(spark, paths).items():
-        run(fn)  # warm-up
-        times[name] = round(statistics.median(run(fn) for _ in range(RUNS)), 3)
-        rows[name] = fn().count()
-    print(json.dumps({
+        try:
+            run(fn)  # warm-up
+            times[name] = round(statistics.median(run(fn) for _ in range(RUNS)), 3)
+            rows[name] = fn().count()
+        except Exception as e:  # report the failure, keep timing the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+    out = {
         "metric": "sum_median_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "rows": rows, "prepare_sec": round(prep, 3), "sf": _sf(SF_DIR),
         "cpus": CPUS, "runs": RUNS,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":

@@ -11,7 +11,8 @@ passages, each block in two passes over all documents.
    are added with the same total energy as the corpus, so that their terms are
    among the leading directions; QR gives the basis.
 2. Overlapping windows of every document are projected and compared with all
-   passages of the block by cosine.  Candidates are checked exactly: the
+   passages of the block by cosine; a window must also contain ``CONTAINED`` of
+   the passage's length along its direction.  Candidates are checked exactly: the
    longest common subsequence of the words around the window with the passage,
    and, for paraphrases, whether the answer is there, that is the passage's rarest terms.
 
@@ -26,6 +27,7 @@ doc_id is reported as null; an empty table on either side gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,23 +35,24 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlumen.llm.common import Cache, arrow_map, steps, tree_sum
+from adlumen.llm.common import arrow_map, steps, tree_sum
 
 STRIDE = 16                   # words; a window is three strides
 PASSAGE = 3 * STRIDE
-DIMENSIONS = 64
+DIMENSIONS = 128
 COMMON = 0.2                  # terms of more passages than this have no weight
-COSINE = 0.3
+COSINE = 0.35
+CONTAINED = 0.45              # of a passage's vector must lie in the window's
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.6, 0.7
 LEAST = 6
 BLOCK = 2048
 SEED = 5
-_EDGES = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»“”„‘’‚‹›…–—¡¿·•"
+_WORD = re.compile(r"\w+")
 
 
-def word(token: str) -> str:
-    """A white-space token without the signs at its ends, in lower case."""
-    return token.strip(_EDGES).lower()
+def split_words(text: str | None) -> list[str]:
+    """Runs of letters, digits and underscores, in lower case."""
+    return _WORD.findall(text.lower()) if text else []
 
 
 @dataclass
@@ -84,7 +87,7 @@ def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]
     passages: list[list[str]] = []
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     for r in rows.where(F.col("text").isNotNull()).toLocalIterator():
-        words = [w for w in map(word, r.text.split()) if w]
+        words = split_words(r.text)
         if len(words) < LEAST:
             continue
         parts = max(1, -(-len(words) // PASSAGE))
@@ -100,11 +103,10 @@ def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]
 
 def _coder(terms: dict[str, int]):
     """text -> term number of each of its words (-1: not in the block)."""
-    get = Cache(lambda token: terms.get(word(token), -1)).__getitem__
+    get = terms.get
 
     def code(text: str | None) -> np.ndarray:
-        tokens = (text or "").split()
-        return np.fromiter(map(get, tokens), dtype=np.int32, count=len(tokens))
+        return np.array([get(w, -1) for w in split_words(text)], dtype=np.int32)
 
     return code
 
@@ -175,6 +177,7 @@ class Index:
     block: Block
     vectors: np.ndarray
     embedded: np.ndarray
+    norms: np.ndarray
     answers: list[frozenset]
 
 
@@ -192,12 +195,13 @@ def build_index(docs: DataFrame, block: Block, dimensions: int = DIMENSIONS) ->
     basis, _ = np.linalg.qr(y)
     vectors = (idf[:, None] * basis).astype(np.float32)
     e = tf @ vectors
-    e /= np.maximum(np.linalg.norm(e, axis=1, keepdims=True), 1e-9)
+    norms = np.maximum(np.linalg.norm(e, axis=1), 1e-9)
+    e /= norms[:, None]
     answers = []
     for p in block.passages:
         rare = sorted(set(p.tolist()), key=lambda t: (-idf[t], t))
         answers.append(frozenset(rare[: max(2, -(-len(rare) // 5))]))
-    return Index(block, vectors, e.astype(np.float32), answers)
+    return Index(block, vectors, e.astype(np.float32), norms.astype(np.float32), answers)
 
 
 def common_subsequence(masks: dict[int, int], length: int, words) -> int:
@@ -227,19 +231,29 @@ def _search(index: Index):
             m[t] = m.get(t, 0) | 1 << i
         masks.append(m)
     passages = np.ascontiguousarray(index.embedded.T)
-
-    def check(ids: np.ndarray, window: int, p: int):
-        """(common, share, answer share) of passage ``p`` around a window."""
-        a, b = (window - 1) * STRIDE, (window + 4) * STRIDE
-        near = ids[max(0, a): b]
-        near = near[near >= 0].tolist()
-        length = len(block.passages[p])
-        common = common_subsequence(masks[p], length, near)
-        answer = index.answers[p]
-        return common, common / length, len(answer.intersection(near)) / len(answer)
+    enough = CONTAINED * index.norms[None, :]
+
+    # how often each term stands in each passage: bounds a common subsequence from above
+    held = np.zeros((len(block.terms), len(block.passages)), dtype=np.float32)
+    for k, p in enumerate(block.passages):
+        np.add.at(held[:, k], p, 1)
+    lengths = np.array([len(p) for p in block.passages])
+    least = PARAPHRASE * lengths
+
+    def check(ids: np.ndarray, window: int, near_passages: np.ndarray):
+        """(passage, common, share, answer share) of the passages that the words around a window hold."""
+        near = ids[max(0, (window - 1) * STRIDE): (window + 4) * STRIDE]
+        near = near[near >= 0]
+        bound = held[np.unique(near)[:, None], near_passages].sum(axis=0)
+        words = None
+        for p in near_passages[bound >= least[near_passages]].tolist():
+            words = near.tolist() if words is None else words
+            common = common_subsequence(masks[p], int(lengths[p]), words)
+            answer = index.answers[p]
+            yield p, common, common / int(lengths[p]), len(answer.intersection(words)) / len(answer)
 
     def candidates(ids: list[np.ndarray]):
-        """(text, window, passage, cosine) of all windows near a passage."""
+        """(text, window, passages, cosines) of all windows near a passage."""
         span, term, first, count = _occurrences(ids, STRIDE, block.light, 2)
         if not len(term):
             return
@@ -253,25 +267,28 @@ def _search(index: Index):
             windows = sums[:-2] + sums[1:-1] + sums[2:]
             norm = np.sqrt(np.einsum("ij,ij->i", windows, windows))
             full = np.flatnonzero(norm > 1e-6)
-            cosine = (windows[full] @ passages) / norm[full][:, None]
-            at, p = np.nonzero(cosine >= COSINE)
-            text = np.searchsorted(first, full[at] + a, side="right") - 1
-            yield from zip(text.tolist(), (full[at] + a - first[text]).tolist(), p.tolist(),
-                           cosine[at, p].tolist(), strict=True)
+            product = windows[full] @ passages
+            at, p = np.nonzero(product >= np.maximum(COSINE * norm[full][:, None], enough))
+            cosine = product[at, p] / norm[full[at]]
+            if not len(at):
+                continue
+            cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            for lo, hi in zip(cuts, [*cuts[1:], len(at)], strict=True):
+                place = int(full[at[lo]]) + a
+                text = int(np.searchsorted(first, place, side="right")) - 1
+                yield text, place - int(first[text]), p[lo:hi], cosine[lo:hi]
 
     def step(cols):
         out: dict[str, list] = {c.split()[0]: [] for c in MATCH.split(", ")}
         ids = [code(t) for t in cols["text"]]
         best: dict[tuple[int, int | None], tuple] = {}
-        for text, window, p, cosine in candidates(ids):
-            key = (text, block.items[p])
-            if key in best and best[key][2] == 1.0:
-                continue
-            common, share, answer = check(ids[text], window, p)
-            if share >= VERBATIM or share >= PARAPHRASE and answer >= ANSWER:
-                row = (cosine, common, share, answer, len(block.passages[p]), window * STRIDE)
+        for text, window, near, cosines in candidates(ids):
+            for p, common, share, answer in check(ids[text], window, near):
+                if share < VERBATIM and not (share >= PARAPHRASE and answer >= ANSWER):
+                    continue
+                key, cosine = (text, block.items[p]), float(cosines[near == p][0])
                 if key not in best or (share, cosine) > (best[key][2], best[key][0]):
-                    best[key] = row
+                    best[key] = (cosine, common, share, answer, int(lengths[p]), window * STRIDE)
         for (text, item), (cosine, common, share, answer, length, start) in best.items():
             for name, value in zip(out, (cols["doc_id"][text], item, cosine, common, length, share, answer, start),
                                    strict=True):

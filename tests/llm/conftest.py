@@ -1,0 +1,14 @@
+import os
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+DATA = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def docs(spark, texts, start=0):
+    """A documents table of texts, with a column whose name may clash."""
+    rows = [(start + i, t, "en", "s", len(t or ""), "x", 1.0) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS + ", sha string, score double")

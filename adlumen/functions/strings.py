@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from adlumen.functions.util import as_col
 
 # Java's Character.isWhitespace, the definition of "blank" in the log format.
-_BLANK_RE = r"^\p{javaWhitespace}*$"
-_INT_RE = r"^[+-]?[0-9]+$"
+_BLANK_RE = r"\A\p{javaWhitespace}*\z"  # not $: it also matches before a line end
+_INT_RE = r"\A[+-]?[0-9]+\z"
 # Lower/odd-case inf/nan parse in Spark but are not valid numbers in the log
 # format; only the exact spellings NaN / Infinity are numbers there.
 _BAD_SPECIAL_RE = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"

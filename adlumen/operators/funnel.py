@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from adlumen.schema import FUNNEL_MEASURES
 
 MODES = ("cumulative", "exclusive")
+MONEY_MEASURES = ("dspcost", "dspapy")
 
 _DEFAULT_COLS = {
     "requestmode": "requestmode", "processnode": "processnode",
@@ -101,6 +102,36 @@ def funnel_aggregates(mode: str = "cumulative", colmap: Mapping[str, str] | None
     return aggs
 
 
+def row_measures(mode: str = "cumulative", colmap: Mapping[str, str] | None = None,
+                 money_scale: int | None = None) -> list[Column]:
+    """The nine contributions of a row as columns to be summed.
+
+    Money is in units of 10^-money_scale (exact integers), or thousands as
+    doubles with ``money_scale=None``; ``scaled_sums`` sums and scales them.
+    """
+    out = []
+    for name, (cond, value) in contributions(mode, colmap).items():
+        if value is None:
+            v, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        elif money_scale is None:
+            v, zero = value / F.lit(1000.0), F.lit(0.0)
+        else:
+            v, zero = F.round(value * F.lit(float(10 ** money_scale))).cast("long"), F.lit(0).cast("long")
+        out.append(F.when(cond, v).otherwise(zero).alias(name))
+    return out
+
+
+def scaled_sums(money_scale: int | None = None) -> list[Column]:
+    """Sums of ``row_measures`` columns (or of their partial sums), money in thousands."""
+    out = []
+    for name in FUNNEL_MEASURES:
+        total = F.sum(name)
+        if name in MONEY_MEASURES and money_scale is not None:
+            total = total.cast("double") / F.lit(1000.0 * 10 ** money_scale)
+        out.append(total.alias(name))
+    return out
+
+
 def funnel(df: DataFrame, keys: Sequence[str], mode: str = "cumulative",
            colmap: Mapping[str, str] | None = None,
            money_scale: int | None = None) -> DataFrame:

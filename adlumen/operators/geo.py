@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlumen.functions.geohash import geohash
+from adlumen.functions.geohash import geohash, with_geohash
 from adlumen.functions.strings import is_blank
 from adlumen.functions.util import as_col
 from adlumen.schema import BUSINESS_BBOX, JSONP_PREFIX
@@ -33,6 +33,12 @@ def point_geohash(lng="long", lat="lat", precision: int = 8) -> Column:
     return geohash(as_col(lat).try_cast("double"), as_col(lng).try_cast("double"), precision)
 
 
+def add_geohash(df: DataFrame, lng: str = "long", lat: str = "lat", out: str = "geohash",
+                precision: int = 8) -> DataFrame:
+    """``df`` with the geohash of its string coordinates (unparsable: null)."""
+    return with_geohash(df, F.col(lat).try_cast("double"), F.col(lng).try_cast("double"), out, precision)
+
+
 def parse_business(response) -> Column:
     """Reverse-geocode response text -> business areas joined by ``;``.
 
@@ -74,11 +80,22 @@ def build_business_lookup(points: DataFrame, responses: DataFrame, *, lng: str =
     resp = responses.select(F.col(lng).alias("__lng"), F.col(lat).alias("__lat"),
                             parse_business(F.col(response)).alias("business"))
     joined = pts.join(resp, (pts[lng] == resp["__lng"]) & (pts[lat] == resp["__lat"]))
-    keyed = joined.where(~is_blank(F.col("business"))).select(
-        point_geohash(F.col(lng), F.col(lat), precision).alias("geohash"), "business")
+    keyed = add_geohash(joined.where(~is_blank(F.col("business"))).select(pts[lng], pts[lat], "business"),
+                        lng, lat, "geohash", precision).select("geohash", "business")
     return keyed.groupBy("geohash").agg(F.min("business").alias("business"))
 
 
+def with_business(df: DataFrame, lookup: DataFrame, *, lng: str = "long", lat: str = "lat",
+                  precision: int = 8, out: str = "__business") -> DataFrame:
+    """Add ``out``: the business areas (``;``-joined) of an in-box row's geohash, else null."""
+    from adlumen.operators.lookup import lookup_side
+
+    side = lookup_side(lookup.select(F.col("geohash").alias("__lgh"), F.col("business").alias(out)))
+    keyed = add_geohash(df, lng, lat, "__gh", precision)
+    keyed = keyed.withColumn("__gh", F.when(in_bbox(lng, lat), F.col("__gh")))
+    return keyed.join(side, keyed["__gh"] == side["__lgh"], "left").drop("__gh", "__lgh")
+
+
 def business_tag_words(df: DataFrame, lookup: DataFrame, *, lng: str = "long", lat: str = "lat",
                        keep: tuple[str, ...] = (), precision: int = 8) -> DataFrame:
     """Rows in the box -> geohash -> lookup -> one row per ``;``-piece (``tag``).
@@ -86,7 +103,7 @@ def business_tag_words(df: DataFrame, lookup: DataFrame, *, lng: str = "long", l
     Empty pieces are dropped; repeated pieces stay (each adds weight).
     """
     pts = df.select(*keep, lng, lat).where(in_bbox(lng, lat))
-    pts = pts.select(*keep, point_geohash(F.col(lng), F.col(lat), precision).alias("__gh"))
+    pts = add_geohash(pts, lng, lat, "__gh", precision).select(*keep, "__gh")
     from adlumen.operators.lookup import lookup_side
 
     lookup = lookup_side(lookup.select("geohash", "business"))

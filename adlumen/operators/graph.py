@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 
 from adlumen.session import drop_materialized, materialize
 
-# A safety net, not a result cap: rounds are O(log n); hitting this raises.
-MAX_ROUNDS = 200
 # Vertices with more incident edges than this are joined map-side (see
 # _split_hot_join); the threshold is raised with the edge count so that at
 # most MAX_HOT_KEYS vertices are ever broadcast.
@@ -112,17 +110,17 @@ def connected_components_long(e: DataFrame,
     e = e.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e, path, prev = materialize(e, "cc-edges", _fingerprint_metrics())
-    for i in range(MAX_ROUNDS):
+    while True:
         hot = _hot_degree(prev["n"], hot_degree)
-        nxt, nxt_path, cur = materialize(_small_star(_large_star(e, hot), hot), f"cc-round{i}",
-                                         _fingerprint_metrics())
+        # small-star reads its input twice (minima and join): a table, not a plan
+        large, large_path, _ = materialize(_large_star(e, hot), "cc-large")
+        nxt, nxt_path, cur = materialize(_small_star(large, hot), "cc-round", _fingerprint_metrics())
         drop_materialized(spark, path)
+        drop_materialized(spark, large_path)
         e, path = nxt, nxt_path
         if cur == prev:
             break
         prev = cur
-    else:
-        raise RuntimeError("connected components did not converge")
     # converged: a forest of stars, each edge (leaf, centre) with the centre
     # the component's smallest vertex -- every leaf has exactly one edge, which
     # is its label; centres (and vertices without edges) label themselves

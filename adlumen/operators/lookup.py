@@ -1,11 +1,11 @@
 """Keyed lookups: dictionary fill and stop-word removal.
 
-Small sides are broadcast only after a bounded size check (``limit(n+1)``
-count, which stops reading once the bound is passed).  Beyond the bound the
-lookup is written as a table in the checkpoint folder and joined with a
-shuffle join: with both inputs plain scans, AQE's skew-join handling can
-split a hot key of the big side (one app or place holding a third of all
-rows) across tasks; an aggregate feeding the join directly would prevent it.
+A lookup side is written once as a table in the checkpoint folder; its rows and
+bytes are observed during that write (partial sums in every task).  It is
+broadcast only if both are under a bound.  Beyond the bound it is joined with a
+shuffle join: with both inputs plain scans, AQE's skew-join handling can split
+a hot key of the big side (one app or place holding a third of all rows)
+across tasks; an aggregate feeding the join directly would prevent it.
 """
 
 from __future__ import annotations
@@ -14,30 +14,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlumen.functions.strings import is_blank
+from adlumen.session import materialize
 
-# Rows a lookup side may have and still be broadcast (short string keys and
-# values: tens of MB as a hash relation on every executor).
+# What a lookup side may have and still be broadcast: rows, and bytes of its
+# strings (the hash relation on an executor is a few times that).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def size_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates ``n`` (rows) and ``bytes`` (of the strings; 8 for other columns)."""
+    width = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(F.col(name)), F.lit(0)) if kind == "string" else F.lit(8))
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if its row count is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is under both bounds (one aggregate over it, summed
+    in every task first; use it on tables, not on expensive plans)."""
+    m = df.agg(*size_metrics(df)).first()
+    return m["n"] <= max_rows and m["bytes"] <= max_bytes
 
 
-def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Prepare the small side of a lookup join: broadcast when proven small,
-    otherwise a materialised table (so AQE can split skewed keys)."""
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df)
-    from adlumen.session import materialize
-
-    return materialize(df, "lookup")[0]
+def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``df`` as a table, with a broadcast hint only when it is proven small."""
+    table, _, m = materialize(df, "lookup", size_metrics(df))
+    return F.broadcast(table) if m["n"] <= max_rows and m["bytes"] <= max_bytes else table
 
 
 def fill_from_dictionary(df: DataFrame, dictionary: DataFrame, *, target: str = "appname",

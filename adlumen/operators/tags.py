@@ -1,8 +1,8 @@
 """Tag generators and tag merging.
 
-A generator is a function returning a Column of ``array<string>``: the tags
-one log row contributes, each with weight 1.  Generators are pure
-expressions (no UDF) and are combined with ``concat``.  Two sources need a
+A generator is a function returning nullable string Columns: the tags one log
+row contributes, each with weight 1.  Generators are pure expressions (no UDF);
+the per-tag arrays and the profiles use the same ones.  Two sources need a
 lookup table: app names get the dictionary value as an extra column (a
 left join per row), keywords are checked against the stop list in *long
 form* (one row per word, anti join).  Merging sums weights per (user, tag)
@@ -12,7 +12,7 @@ task before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,12 @@ from adlumen.schema import (
 )
 
 
+#: Columns that lookups add to a row.
+DICT_APP, BUSINESS = "__dict_app", "__business"
+#: Sign before a keyword piece while it shares an array with finished tags.
+_MARK = "\x00K"
+
+
 def _compact(*items: Column) -> Column:
     """Array of the non-null items.
 
@@ -43,45 +49,64 @@ def _code(c: Column, codes: dict, other: str) -> Column:
     return expr.otherwise(F.lit(other))
 
 
-def ad_tags(slot_type: str = "adspacetype", slot_name: str = "adspacetypename",
-            channel: str = "adplatformproviderid") -> Column:
+def ad_items(slot_type: str = "adspacetype", slot_name: str = "adspacetypename",
+             channel: str = "adplatformproviderid") -> list[Column]:
     """Slot type ``LC``nn (one digit padded; <= 0 none), slot name ``LN``, channel ``CN``."""
     v = F.col(slot_type)
     lc = (F.when(v > 9, F.concat(F.lit(TAG_AD_SLOT), v.cast("string")))
            .when(v > 0, F.concat(F.lit(TAG_AD_SLOT + "0"), v.cast("string"))))
     ln = F.when(not_blank(slot_name), F.concat(F.lit(TAG_AD_SLOT_NAME), F.col(slot_name)))
     cn = F.concat(F.lit(TAG_CHANNEL), F.coalesce(F.col(channel), F.lit(0)).cast("string"))
-    return _compact(lc, ln, cn)
+    return [lc, ln, cn]
 
 
-def app_tags(appname: str = "appname", appid: str = "appid",
-             dict_name: str | None = None) -> Column:
+def app_items(appname: str = "appname", appid: str = "appid",
+              dict_name: str | None = DICT_APP) -> list[Column]:
     """``APP`` + name; a blank name falls back to dictionary(appid), then appid.
 
     ``dict_name`` names a column already holding the dictionary lookup of
     ``appid`` (see ``with_app_lookup``); without it the id itself is used.
     """
     fallback = F.col(appid) if dict_name is None else F.coalesce(F.col(dict_name), F.col(appid))
-    tag = (F.when(not_blank(appname), F.concat(F.lit(TAG_APP), F.col(appname)))
-            .when(not_blank(appid), F.concat(F.lit(TAG_APP), fallback)))
-    return _compact(tag)
+    return [F.when(not_blank(appname), F.concat(F.lit(TAG_APP), F.col(appname)))
+             .when(not_blank(appid), F.concat(F.lit(TAG_APP), fallback))]
 
 
-def device_tags(client: str = "client", network: str = "networkmannername",
-                carrier: str = "ispname") -> Column:
+def device_items(client: str = "client", network: str = "networkmannername",
+                 carrier: str = "ispname") -> list[Column]:
     """Operating system, network and carrier codes (always three tags)."""
-    return F.array(
+    return [
         _code(F.coalesce(F.col(client), F.lit(0)), OS_CODES, OS_OTHER),
         _code(F.col(network), NETWORK_CODES, NETWORK_OTHER),
         _code(F.col(carrier), CARRIER_CODES, CARRIER_OTHER),
-    )
+    ]
 
 
-def location_tags(province: str = "provincename", city: str = "cityname") -> Column:
-    return _compact(
+def location_items(province: str = "provincename", city: str = "cityname") -> list[Column]:
+    return [
         F.when(not_blank(province), F.concat(F.lit(TAG_PROVINCE), F.col(province))),
         F.when(not_blank(city), F.concat(F.lit(TAG_CITY), F.col(city))),
-    )
+    ]
+
+
+#: Generators of a row's tags: each gives nullable string columns, one tag or null.
+GENERATORS: tuple[Callable[[], list[Column]], ...] = (ad_items, location_items, device_items, app_items)
+
+
+def ad_tags(**columns) -> Column:
+    return _compact(*ad_items(**columns))
+
+
+def app_tags(dict_name: str | None = None, **columns) -> Column:
+    return _compact(*app_items(dict_name=dict_name, **columns))
+
+
+def device_tags(**columns) -> Column:
+    return _compact(*device_items(**columns))
+
+
+def location_tags(**columns) -> Column:
+    return _compact(*location_items(**columns))
 
 
 def keyword_candidates(keywords: str = "keywords") -> Column:
@@ -94,17 +119,8 @@ def keyword_ok(word: Column) -> Column:
     return F.length(word).between(KEYWORD_MIN_LEN, KEYWORD_MAX_LEN)
 
 
-def keyword_words(keywords: str = "keywords") -> Column:
-    """``|``-separated words of length 3..8; repeats kept; null -> [].
-
-    For row-level arrays; ``tags_long`` explodes ``keyword_candidates`` and
-    filters rows instead, which stays in generated code.
-    """
-    return F.filter(keyword_candidates(keywords), keyword_ok)
-
-
 def with_app_lookup(df: DataFrame, dictionary: DataFrame | None, *, appid: str = "appid",
-                    out: str = "__dict_app",
+                    out: str = DICT_APP,
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``out`` = dictionary value of ``appid`` (null if missing or no dictionary)."""
     if dictionary is None:
@@ -114,65 +130,55 @@ def with_app_lookup(df: DataFrame, dictionary: DataFrame | None, *, appid: str =
     return df.join(lk, df[appid] == lk["__k"], "left").drop("__k")
 
 
-def row_tags(dict_name: str | None = "__dict_app") -> Column:
+def row_tags(dict_name: str | None = DICT_APP) -> Column:
     """All expression-only tags of a row: ad, location, device and app."""
     return F.concat(ad_tags(), location_tags(), device_tags(), app_tags(dict_name=dict_name))
 
 
-def _row_tag_items(dict_name: str | None = "__dict_app") -> Column:
-    """The same tags as ``row_tags`` in one flat array, with nulls for absent
-    tags (exploded and filtered in ``tags_long``: no per-row array merging)."""
-    v = F.col("adspacetype")
-    fallback = F.coalesce(F.col(dict_name), F.col("appid")) if dict_name else F.col("appid")
-    return F.array(
-        F.when(v > 9, F.concat(F.lit(TAG_AD_SLOT), v.cast("string")))
-         .when(v > 0, F.concat(F.lit(TAG_AD_SLOT + "0"), v.cast("string"))),
-        F.when(not_blank("adspacetypename"), F.concat(F.lit(TAG_AD_SLOT_NAME), F.col("adspacetypename"))),
-        F.concat(F.lit(TAG_CHANNEL), F.coalesce(F.col("adplatformproviderid"), F.lit(0)).cast("string")),
-        F.when(not_blank("provincename"), F.concat(F.lit(TAG_PROVINCE), F.col("provincename"))),
-        F.when(not_blank("cityname"), F.concat(F.lit(TAG_CITY), F.col("cityname"))),
-        _code(F.coalesce(F.col("client"), F.lit(0)), OS_CODES, OS_OTHER),
-        _code(F.col("networkmannername"), NETWORK_CODES, NETWORK_OTHER),
-        _code(F.col("ispname"), CARRIER_CODES, CARRIER_OTHER),
-        F.when(not_blank("appname"), F.concat(F.lit(TAG_APP), F.col("appname")))
-         .when(not_blank("appid"), F.concat(F.lit(TAG_APP), fallback)),
-    )
-
-
 def tags_long(df: DataFrame, keys: Sequence[str], *, dictionary: DataFrame | None = None,
               stopwords: DataFrame | None = None, business_lookup: DataFrame | None = None,
-              include_keywords: bool = True) -> DataFrame:
+              include_keywords: bool = True,
+              generators: Sequence[Callable[[], list[Column]]] = GENERATORS,
+              keywords: str = "keywords") -> DataFrame:
     """One row ``(keys..., tag)`` per tag occurrence of every input row.
 
-    Ad, location, device and app tags come from one projection and one
-    explode; keywords are exploded separately and stop words removed with an
-    anti join (broadcast when the list is proven small, see
-    ``operators.lookup``); business-area tags are added when a lookup is given.
+    One scan: the generators' items, the row's keyword pieces and its business
+    areas form one array, exploded once with its position.  Keywords are told
+    by their position; stop words are removed by an anti join on those rows
+    only, business areas come from a left join on the row's geohash.
+    ``generators`` may be any functions that give nullable string columns; a
+    generator that needs a lookup reads a column that was joined before.
     """
     keys = list(keys)
-    base = with_app_lookup(df, dictionary)
-    plain = base.select(*keys, F.explode(_row_tag_items()).alias("tag")).where(
-        F.col("tag").isNotNull())
-    parts = [plain]
-    if include_keywords:
-        words = df.select(*keys, F.explode(keyword_candidates()).alias("word"))
-        words = words.where(keyword_ok(F.col("word")))
-        if stopwords is not None:
-            words = drop_stopwords(words, stopwords, word="word")
-        parts.append(words.select(*keys, F.concat(F.lit(TAG_KEYWORD), F.col("word")).alias("tag")))
+    items = [c for g in generators for c in g()]
+    base = with_app_lookup(df, dictionary) if app_items in generators else df
     if business_lookup is not None:
-        from adlumen.operators.geo import business_tag_words
+        from adlumen.operators.geo import with_business
 
-        parts.append(business_tag_words(df, business_lookup, keep=tuple(keys)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        base = with_business(base, business_lookup)
+    parts = [F.array(*items) if items else F.array().cast("array<string>")]
+    if business_lookup is not None:
+        parts.append(F.coalesce(F.split(F.col(BUSINESS), ";"), F.array().cast("array<string>")))
+    if include_keywords:
+        # behind everything else, marked, so that only these are checked
+        parts.append(F.split(F.concat(F.lit(_MARK), F.regexp_replace(
+            F.coalesce(F.col(keywords), F.lit("")), r"\|", "|" + _MARK)), r"\|"))
+    long = base.select(*keys, F.explode(F.concat(*parts)).alias("tag"))
+    long = long.where(F.col("tag").isNotNull() & (F.col("tag") != ""))
+    if not include_keywords:
+        return long
+    marked = F.col("tag").startswith(_MARK)
+    word = F.substring(F.col("tag"), len(_MARK) + 1, 1 << 30)
+    long = long.select(*keys, F.when(~marked, F.col("tag")).alias("tag"), F.when(marked, word).alias("__word"))
+    long = long.where(F.col("__word").isNull() | keyword_ok(F.col("__word")))
+    if stopwords is not None:
+        long = drop_stopwords(long, stopwords, word="__word")
+    return long.select(*keys, F.coalesce("tag", F.concat(F.lit(TAG_KEYWORD), F.col("__word"))).alias("tag"))
 
 
 def merge_tags(long: DataFrame, user: str = "user_id") -> DataFrame:
     """``(user, tag)`` occurrences -> ``(user, tag, weight)``."""
-    return long.groupBy(user, "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+    return long.groupBy(user, "tag").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def collect_profiles(merged: DataFrame, user: str = "user_id") -> DataFrame:

@@ -77,7 +77,7 @@ def funnel_app_null_default(spark, sf_dir):
 @query
 def funnel_location_sql(spark, sf_dir):
     """The cumulative funnel as SQL text over a temp view."""
-    return reports.location_report_sql(spark, B.ad_log(spark, sf_dir), view="ad_log_view",
+    return reports.location_report_sql(spark, B.ad_log(spark, sf_dir),
                                        money_scale=MONEY_SCALE)
 
 
@@ -147,7 +147,7 @@ def all_ids(spark, sf_dir):
 
 def _row_tag_counts(df, tag_col):
     return (df.select("sessionid", F.explode(tag_col).alias("tag"))
-              .groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight")))
+              .groupBy("sessionid", "tag").agg(F.count(F.lit(1)).alias("weight")))
 
 
 @query
@@ -178,7 +178,7 @@ def tags_keyword(spark, sf_dir):
     words = words.where(TG.keyword_ok(F.col("word")))
     kept = drop_stopwords(words, B.stopwords(spark), word="word")
     tags = kept.select("sessionid", F.concat(F.lit("K"), F.col("word")).alias("tag"))
-    return tags.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+    return tags.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).alias("weight"))
 
 
 @query
@@ -238,7 +238,7 @@ def bbox_points(spark, sf_dir):
 @query
 def geohash8(spark, sf_dir):
     pts = B.geo_points(spark, sf_dir).where(GEO.in_bbox())
-    return pts.select("c_custkey", GEO.point_geohash().alias("geohash"))
+    return GEO.add_geohash(pts).select("c_custkey", "geohash")
 
 
 @query
@@ -256,4 +256,4 @@ def business_lookup(spark, sf_dir):
 def tags_business(spark, sf_dir):
     lookup = business_lookup(spark, sf_dir)
     words = GEO.business_tag_words(B.ad_log(spark, sf_dir), lookup, keep=("sessionid",))
-    return words.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+    return words.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).alias("weight"))

@@ -162,7 +162,7 @@ def _tag_rows(src: str, key: str, lists=(AD_TAGS, LOCATION_TAGS, DEVICE_TAGS, AP
 
 
 def _counted(inner: str, key: str) -> str:
-    return (f"select {key}, tag, cast(count(*) as int) as weight from ({inner}) x "
+    return (f"select {key}, tag, count(*) as weight from ({inner}) x "
             f"group by {key}, tag")
 
 
@@ -246,7 +246,7 @@ ORACLES["component_sizes"] = _CC_CTE + "select component, count(*) as n_members
 ORACLES["person_profiles"] = (
     _CC_CTE
     + f", tagged as ({_tag_rows(_ID_ROWS, 'head')}) "
-    + "select l.component, t.tag as entry, cast(count(*) as int) as weight "
+    + "select l.component, t.tag as entry, count(*) as weight "
     + "from tagged t join labels l on t.head = l.id group by l.component, t.tag "
     + "union all select component, id as entry, 0 as weight from labels"
 )
@@ -309,7 +309,7 @@ ORACLES["business_lookup"] = (
     f"on p.long = r.long and p.lat = r.lat where {not_blank('r.business')}) k group by geohash"
 )
 ORACLES["tags_business"] = (
-    "select sessionid, tag, cast(count(*) as int) as weight from (select sessionid, "
+    "select sessionid, tag, count(*) as weight from (select sessionid, "
     "unnest(string_split(k.business, ';')) as tag from (select sessionid, "
     f"{geohash_sql('long', 'lat')} as geohash from {AL} l where {in_bbox_sql(BUSINESS_BBOX)}) a "
     f"join ({ORACLES['business_lookup']}) k on a.geohash = k.geohash) t where tag <> '' "

@@ -73,7 +73,7 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
         labelled = rows.join(F.broadcast(lab), "head")
         long = tags_long(labelled, ["component"], dictionary=dictionary, stopwords=stopwords,
                          business_lookup=business_lookup)
-        tagged = long.groupBy("component", "tag").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+        tagged = long.groupBy("component", "tag").agg(F.count(F.lit(1)).alias("weight"))
     else:
         # large id table: pre-aggregate per head id (a hot head collapses to
         # one row per tag) before the shuffle join, then sum per person
@@ -81,6 +81,6 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
                          business_lookup=business_lookup)
         per_head = long.groupBy("head", "tag").agg(F.count(F.lit(1)).alias("w"))
         tagged = (per_head.join(lab, "head").groupBy("component", "tag")
-                          .agg(F.sum("w").cast("int").alias("weight")))
-    ids = labels.select("component", F.col("id").alias("entry"), F.lit(0).alias("weight"))
+                          .agg(F.sum("w").alias("weight")))
+    ids = labels.select("component", F.col("id").alias("entry"), F.lit(0).cast("bigint").alias("weight"))
     return tagged.select("component", F.col("tag").alias("entry"), "weight").unionByName(ids)

@@ -1,6 +1,6 @@
 """Plan checks: pruning, pushdown, broadcast of checked-small sides, no Python UDFs."""
 
-import __spark_entry__ as E
+from adlumen.plans.catalog import QUERIES
 from adlumen.plans.reports import app_report, location_report
 from adlumen.sources.dictionary import parse_app_dictionary
 from adlumen.sources.logs import read_log
@@ -27,7 +27,7 @@ def test_app_report_broadcasts_small_dictionary(spark):
 
 
 def test_no_python_udfs_in_registered_queries(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in ("connected_components", "component_members", "component_sizes",
                     "person_profiles"):
             continue  # these run their rounds eagerly; covered by test_graph

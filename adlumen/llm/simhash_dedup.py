@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
     # linked fingerprints only: a component's name is the smallest doc_id of its members
     linked = labels.join(distinct, "fp")
     named = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = distinct.join(labels, "fp", "left").join(named, "component", "left").select(
+    by_fp = distinct.join(labels.join(named, "component").select("fp", "component_id"), "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id"))
     table, _, _ = materialize(by_fp, "simhash-components")
     return rows.join(table, "fp").select(

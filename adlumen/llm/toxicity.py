@@ -45,7 +45,7 @@ WINDOW = 16
 SPAN = 7               # letters a subsequence may reach over
 DECAY = 0.7           # per skipped character
 LANDMARKS = 256
-MOST = 6000            # labelled documents of each label that are learnt from
+MOST = 4000            # labelled documents of each label that are learnt from
 GRAMS = 4096           # 5-grams that seed the first windows
 ROUNDS = 2
 NEAR = 0.4
@@ -311,11 +311,13 @@ class Kernel:
         return out
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 100.0) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss and balanced labels, by Newton steps."""
+def svm(z: np.ndarray, y: np.ndarray, c: float = 100.0) -> np.ndarray:
+    """Linear SVM with squared hinge loss and balanced labels, by Newton steps.
+
+    The last column of ``z`` is the constant's; rows are added up in blocks.
+    """
     sign = np.where(y == 1, 1.0, -1.0)
     cost = c * np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    z = np.hstack([x, np.ones((len(x), 1))])
     w, ridge = np.zeros(z.shape[1]), np.eye(z.shape[1])
     ridge[-1, -1] = 1e-6
 
@@ -323,17 +325,21 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 100.0) -> tuple[np.ndarray, flo
         return 0.5 * w @ ridge @ w + 0.5 * (cost * np.maximum(0, 1 - sign * (z @ w)) ** 2).sum()
 
     for _ in range(30):
-        inside = sign * (z @ w) < 1
-        a = z[inside]
-        grad = ridge @ w - a.T @ (cost[inside] * (sign[inside] - a @ w))
-        step = np.linalg.solve(ridge + (a.T * cost[inside]) @ a, grad)
+        inside = np.flatnonzero(sign * (z @ w) < 1)
+        grad, curve = ridge @ w, ridge.copy()
+        for k in range(0, len(inside), 4096):
+            i = inside[k: k + 4096]
+            a = z[i].astype(np.float64)
+            grad -= a.T @ (cost[i] * (sign[i] - a @ w))
+            curve += (a.T * cost[i]) @ a
+        step = np.linalg.solve(curve, grad)
         size, now = 1.0, loss(w)
         while loss(w - size * step) > now and size > 1e-4:
             size /= 2
         w = w - size * step
         if np.abs(step).max() < 1e-6:
             break
-    return w[:-1], float(w[-1])
+    return w
 
 
 def cores(codes: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -376,8 +382,12 @@ def fit_windows(y: np.ndarray, codes: np.ndarray, marks: np.ndarray) -> tuple[np
     value, vector = np.linalg.eigh(among / scale)
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])      # K^(-1/2) on its range
-    w, base = svm(kernel(codes) / scale @ root, y)
-    beta = root @ w / scale
+    z = np.ones((len(codes), root.shape[1] + 1), dtype=np.float32)
+    for a in range(0, len(codes), 1024):
+        z[a: a + 1024, :-1] = kernel(codes[a: a + 1024]) / scale @ root
+    w = svm(z, y)
+    base = float(w[-1])
+    beta = root @ w[:-1] / scale
     table = np.zeros(TABLE)
     index, weight = _features(marks)
     np.add.at(table, index.ravel(), np.outer(beta, weight).ravel())

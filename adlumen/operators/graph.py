@@ -30,6 +30,9 @@ from adlumen.session import drop_materialized, materialize
 # most MAX_HOT_KEYS vertices are ever broadcast.
 HOT_DEGREE_MIN = 100_000
 MAX_HOT_KEYS = 1_000_000
+# The same for joins that broadcast id strings: fewer keys, none longer than this.
+MAX_HOT_NAMES = 100_000
+MAX_HOT_NAME_BYTES = 256
 
 
 def _split_hot_join(pairs: DataFrame, stats: DataFrame, hot_degree: int | None) -> DataFrame:
@@ -72,15 +75,32 @@ def _small_star(e: DataFrame, hot_degree: int | None) -> DataFrame:
     return out.distinct()
 
 
-def _hot_degree(n_edges: int, hot_degree: int | None) -> int | None:
+def _hot_degree(n_edges: int, hot_degree: int | None, max_keys: int = MAX_HOT_KEYS) -> int | None:
     """Degree above which a vertex is joined map-side, or None when no vertex
     can reach it (a vertex has at most ``n_edges`` incident edges)."""
     if hot_degree is None:
         # keys above the threshold number at most 2 * n_edges / threshold
-        hot_degree = max(HOT_DEGREE_MIN, -(-2 * n_edges // MAX_HOT_KEYS))
+        hot_degree = max(HOT_DEGREE_MIN, -(-2 * n_edges // max_keys))
     return hot_degree if n_edges > hot_degree else None
 
 
+def _with_names(pairs: DataFrame, key: str, names: DataFrame, out: str, name: str,
+                hot: int | None) -> DataFrame:
+    """``pairs JOIN names(u, m)`` on ``key`` = u, m as ``out``, hot keys split off.
+
+    ``name`` is the string column of ``names`` (u or m): a key with a longer
+    one than ``MAX_HOT_NAME_BYTES`` is left to the shuffle join, so that the
+    number of hot keys also bounds the bytes that are broadcast.
+    """
+    keyed = pairs.withColumnRenamed(key, "u")
+    if hot is not None:
+        degrees = keyed.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        short = F.octet_length(name) <= MAX_HOT_NAME_BYTES
+        names = names.join(degrees, "u").select(
+            "u", "m", F.when(short, F.col("n")).otherwise(F.lit(0)).alias("deg"))
+    return _split_hot_join(keyed, names, hot).drop("u").withColumnRenamed("m", out)
+
+
 def _fingerprint_metrics():
     return [F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
@@ -139,18 +159,21 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", *
     spark = edges.sparkSession
     # materialise the edge list once: it usually comes from a full log scan and
     # is read three times below (range bounds, numbering, translation)
-    edges, edges_path, _ = materialize(
+    count = [F.count(F.lit(1)).alias("n")]
+    edges, edges_path, seen = materialize(
         edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
-            F.col("src").isNotNull() & F.col("dst").isNotNull()), "cc-input")
-    v, v_path, _ = materialize(number_vertices(edges), "cc-vertices")
-    va = v.select(F.col("id").alias("src"), F.col("vid").alias("a"))
-    vb = v.select(F.col("id").alias("dst"), F.col("vid").alias("b"))
-    e = edges.join(va, "src").join(vb, "dst").select("a", "b")
+            F.col("src").isNotNull() & F.col("dst").isNotNull()), "cc-input", count)
+    v, v_path, vertices = materialize(number_vertices(edges), "cc-vertices", count)
+    hot = _hot_degree(seen["n"], hot_degree, MAX_HOT_NAMES)
+    numbers = v.select(F.col("id").alias("u"), F.col("vid").alias("m"))
+    e = _with_names(edges, "src", numbers, "a", "u", hot)
+    e = _with_names(e, "dst", numbers, "b", "u", hot).select("a", "b")
     labels, last_path = connected_components_long(e, hot_degree)
-    lab = v.join(labels, "vid", "left").select(
-        "id", "vid", F.coalesce(F.col("cid"), F.col("vid")).alias("cid"))
-    names = v.select(F.col("vid").alias("cid"), F.col("id").alias("component"))
-    out, _, _ = materialize(lab.join(names, "cid").select("id", "component"), "cc-labels")
+    lab = v.join(labels, "vid", "left").select("id", F.coalesce(F.col("cid"), F.col("vid")).alias("cid"))
+    names = v.select(F.col("vid").alias("u"), F.col("id").alias("m"))
+    hot = _hot_degree(vertices["n"], hot_degree, MAX_HOT_NAMES)
+    named = _with_names(lab, "cid", names, "component", "m", hot).select("id", "component")
+    out, _, _ = materialize(named, "cc-labels")
     for path in (edges_path, v_path, last_path):
         drop_materialized(spark, path)
     return out
@@ -175,6 +198,18 @@ def component_members(labels: DataFrame) -> DataFrame:
     return labels.select("component", F.col("id").alias("member"))
 
 
+def component_attributes(labels: DataFrame, attributes: DataFrame, id: str = "id") -> DataFrame:
+    """Members with their own attributes, ``(component, member, <attributes>)``.
+
+    ``attributes`` has a column ``id`` and any others; a member without a row
+    there has nulls, one with several rows has several.  Long form, as in
+    ``component_members``.
+    """
+    named = attributes.withColumnRenamed(id, "member")
+    return component_members(labels).join(named, "member", "left").select(
+        "component", "member", *[c for c in named.columns if c != "member"])
+
+
 def component_sizes(labels: DataFrame) -> DataFrame:
     """``(component, n_members)``."""
     return labels.groupBy("component").agg(F.count(F.lit(1)).alias("n_members"))

@@ -17,12 +17,14 @@ from adlumen.operators import graph as G
 from adlumen.operators import identity as I
 from adlumen.operators import tags as TG
 from adlumen.operators.lookup import drop_stopwords
+from adlumen.plans import jobs
 from adlumen.plans import profiles as P
 from adlumen.plans import reports
-from adlumen.sinks.writers import format_report_lines, format_tag_lines
+from adlumen.session import materialize, scratch_path
+from adlumen.sinks.writers import format_report_lines, format_tag_lines, write_log
 from adlumen.sources import bindings as B
 from adlumen.sources.dictionary import parse_app_dictionary
-from adlumen.sources.logs import parse_log
+from adlumen.sources.logs import parse_log, read_log, read_profiles
 
 # Money is compared exactly across engines: prices are 2-decimal values, so
 # sum them as exact cents (order-independent) and divide once at the end.
@@ -257,3 +259,100 @@ def tags_business(spark, sf_dir):
     lookup = business_lookup(spark, sf_dir)
     words = GEO.business_tag_words(B.ad_log(spark, sf_dir), lookup, keep=("sessionid",))
     return words.groupBy("sessionid", "tag").agg(F.count(F.lit(1)).alias("weight"))
+
+
+# --- every id column, hot ids, member attributes ---------------------------------------
+
+def _id_log(spark, sf_dir):
+    """The id log as a written table, as real logs are."""
+    return materialize(B.binding(spark, sf_dir, "id_log"), "id-log")[0]
+
+
+@query
+def first_id_every_column(spark, sf_dir):
+    rows = _id_log(spark, sf_dir).where(I.has_any_id())
+    return rows.select("o_orderkey", I.first_id().alias("user_id"))
+
+
+@query
+def all_ids_every_column(spark, sf_dir):
+    rows = _id_log(spark, sf_dir).where(I.has_any_id())
+    return rows.select("o_orderkey", F.array_join(I.all_ids(), ",").alias("ids"))
+
+
+@query
+def components_every_column(spark, sf_dir):
+    return P.person_graph(_id_log(spark, sf_dir))
+
+
+@query
+def components_hub_and_chain(spark, sf_dir):
+    """A hub with a third of all ids and a chain of another third; a low
+    threshold sends the hub and the chain's label through the hot-key joins."""
+    return G.connected_components(B.binding(spark, sf_dir, "hub_chain_edges"), hot_degree=300)
+
+
+@query
+def component_attributes(spark, sf_dir):
+    customer = B.read_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("IM:"), F.col("c_custkey").cast("string")).alias("id"), "c_name", "c_mktsegment")
+    return G.component_attributes(connected_components(spark, sf_dir), customer)
+
+
+# --- jobs: written by the sinks, read back by the sources --------------------------------
+
+def _text(spark, lines, name, **options):
+    path = scratch_path(spark, name)
+    lines.write.options(**options).text(path)
+    return path
+
+
+def _log_table(spark, sf_dir):
+    path = scratch_path(spark, "log")
+    write_log(B.ad_log(spark, sf_dir), path)
+    return path
+
+
+def _etl(spark, sf_dir, partition_by):
+    raw = _text(spark, B.raw_log_lines(spark, sf_dir), "raw-bz2", compression="bzip2")
+    path = scratch_path(spark, "etl")
+    jobs.etl_job(spark, raw, path, partition_by=partition_by)
+    return read_log(spark, path)
+
+
+@query
+def job_etl_plain(spark, sf_dir):
+    """Compressed lines -> typed log, plain layout."""
+    return _etl(spark, sf_dir, None)
+
+
+@query
+def job_etl_partitioned(spark, sf_dir):
+    """Compressed lines -> typed log, one folder per province and city."""
+    return _etl(spark, sf_dir, ["provincename", "cityname"])
+
+
+@query
+def job_location_report_json(spark, sf_dir):
+    path = scratch_path(spark, "report-json")
+    rep = jobs.location_report_job(spark, _log_table(spark, sf_dir), path, fmt="json",
+                                   money_scale=MONEY_SCALE)
+    return spark.read.schema(rep.schema).json(path)
+
+
+@query
+def job_app_dictionary(spark, sf_dir):
+    path = scratch_path(spark, "dictionary")
+    jobs.app_dictionary_job(spark, _text(spark, B.app_dictionary_lines(spark, sf_dir), "dictionary-text"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def job_user_tags(spark, sf_dir):
+    """Log table, dictionary and stop-word files -> day-partitioned profiles."""
+    path = scratch_path(spark, "profiles")
+    jobs.user_tags_job(
+        spark, _log_table(spark, sf_dir),
+        _text(spark, B.app_dictionary_lines(spark, sf_dir), "dictionary-text"),
+        _text(spark, B.binding(spark, sf_dir, "stopword_lines"), "stopwords"), path, day="2024-05-01")
+    return read_profiles(spark, path)

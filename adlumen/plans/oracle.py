@@ -2,12 +2,14 @@
 
 Inputs come from the same binding text as the Spark side
 (``sources.bindings.binding_sql``); the operator logic below is written
-separately in SQL.  Counts are cast to BIGINT (DuckDB sums ints to HUGEINT).
+separately in SQL, with its fixed values spelled out here, so that a wrong one
+in ``schema`` shows (the 85 fields also shape the bindings and are shared).
+Counts are cast to BIGINT (DuckDB sums ints to HUGEINT).
 """
 
 from __future__ import annotations
 
-from adlumen.schema import FUNNEL_MEASURES
+from adlumen.schema import LOG_FIELDS
 from adlumen.sources.bindings import binding_sql
 
 ORACLES: dict[str, str] = {}
@@ -29,6 +31,10 @@ def not_blank(x: str) -> str:
     return f"({x} is not null and not regexp_full_match({x}, '{_WS}*'))"
 
 
+FUNNEL_MEASURES = ["ysrequest", "yxrequest", "adrequest", "cyrequest", "cybidsuccess",
+                   "shows", "clicks", "dspcost", "dspapy"]
+
+
 def _cnt(cond: str) -> str:
     return f"cast(sum(case when {cond} then 1 else 0 end) as bigint)"
 
@@ -101,19 +107,36 @@ ORACLES["app_dictionary_strict"] = _dictionary_sql(True)
 
 # --- shared SQL fragments ----------------------------------------------------------
 
-from adlumen.schema import (  # noqa: E402
-    ALL_ID_SPEC, BUSINESS_BBOX, CARRIER_CODES, CARRIER_OTHER, COARSE_BBOX, FIRST_ID_SPEC,
-    FUNNEL_LEGACY_ORDER, GEOHASH_BASE32, ID_COLUMNS, LOG_FIELDS, NETWORK_CODES, NETWORK_OTHER,
-    OS_CODES, OS_OTHER,
-)
+# Column, prefix as first id, prefix among all ids.
+IDS = [
+    ("imei", "IM", "IM:"), ("mac", "MC", "MC:"), ("idfa", "ID", "ID:"), ("openudid", "OD", "OD:"),
+    ("androidid", "AOD", "AOD:"), ("imeimd5", "MD5IM", "IMM:"), ("macmd5", "MD5MC", "MCM:"),
+    ("idfamd5", "MD5ID", "IDM:"), ("openudidmd5", "MD5OD", "ODM:"), ("androididmd5", "MD5AOD", "AODM:"),
+    ("imeisha1", "SHIM", "IMS:"), ("macsha1", "SHMC", "MCS:"), ("idfasha1", "SHID", "IDS:"),
+    ("openudidsha1", "SHOD", "ODS:"), ("androididsha1", "SHAOD", "AODS:"),
+]
+# As first id, idfamd5 comes after the other md5 ids.
+FIRST_ORDER = ["imei", "mac", "idfa", "openudid", "androidid", "imeimd5", "macmd5", "openudidmd5",
+               "androididmd5", "idfamd5", "imeisha1", "macsha1", "idfasha1", "openudidsha1", "androididsha1"]
+OS_CODES, OS_OTHER = {1: "D00010001", 2: "D00010002", 3: "D00010003"}, "D00010004"
+NETWORK_CODES = {"WIFI": "D00020001", "4G": "D00020002", "3G": "D00020003", "2G": "D00020004"}
+NETWORK_OTHER = "D00020005"
+CARRIER_CODES = {"移动": "D00030001", "联通": "D00030002", "电信": "D00030003"}
+CARRIER_OTHER = "D00030004"
+BUSINESS_BBOX = (73.66, 135.05, 3.86, 53.55)
+COARSE_BBOX = (73.0, 136.0, 3.0, 54.0)
+GEOHASH_BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+FUNNEL_LEGACY_ORDER = ["ysrequest", "yxrequest", "adrequest", "cyrequest", "cybidsuccess",
+                       "dspcost", "dspapy", "shows", "clicks"]
 
 AL = _b("ad_log")
 STOPWORDS_SQL = "('cold', 'bolt')"
-HAS_ANY_ID = "(" + " or ".join(f"{c} <> ''" for c in ID_COLUMNS) + ")"
+HAS_ANY_ID = "(" + " or ".join(f"{c} <> ''" for c, _, _ in IDS) + ")"
 FIRST_ID = "coalesce(" + ", ".join(
-    f"case when {not_blank(c)} then '{p}' || {c} end" for c, p in FIRST_ID_SPEC) + ")"
+    f"case when {not_blank(c)} then '{p}' || {c} end"
+    for c, p, _ in sorted(IDS, key=lambda i: FIRST_ORDER.index(i[0]))) + ")"
 ID_LIST = "list_filter([" + ", ".join(
-    f"case when {not_blank(c)} then '{p}' || {c} end" for c, p in ALL_ID_SPEC) + "], lambda x: x is not null)"
+    f"case when {not_blank(c)} then '{p}' || {c} end" for c, _, p in IDS) + "], lambda x: x is not null)"
 
 
 def in_bbox_sql(box, lng="long", lat="lat") -> str:
@@ -147,7 +170,7 @@ def _with_dict(src: str) -> str:
 
 
 def _tag_rows(src: str, key: str, lists=(AD_TAGS, LOCATION_TAGS, DEVICE_TAGS, APP_TAGS),
-              keywords: bool = True) -> str:
+              keywords: bool = True, stop: str = STOPWORDS_SQL) -> str:
     """Long-form tag occurrences ``(key, tag)`` of the rows of ``src``."""
     parts = []
     for lst in lists:
@@ -157,7 +180,7 @@ def _tag_rows(src: str, key: str, lists=(AD_TAGS, LOCATION_TAGS, DEVICE_TAGS, AP
         parts.append(
             f"select {key}, 'K' || w as tag from (select {key}, "
             f"unnest(string_split(coalesce(keywords, ''), '|')) as w from {src} t) k "
-            f"where length(w) between 3 and 8 and w not in {STOPWORDS_SQL}")
+            f"where length(w) between 3 and 8 and w not in {stop}")
     return " union all ".join(parts)
 
 
@@ -335,3 +358,33 @@ _BIZ_TAGS = (
 ORACLES["user_tags_with_business"] = _counted(
     _tag_rows(_USERS, "user_id") + f" union all select * from ({_BIZ_TAGS}) b where tag <> ''",
     "user_id")
+
+# --- every id column, hot ids, member attributes ---------------------------------------
+
+_IL = _b("id_log")
+ORACLES["first_id_every_column"] = f"select o_orderkey, {FIRST_ID} as user_id from {_IL} l where {HAS_ANY_ID}"
+ORACLES["all_ids_every_column"] = (
+    f"select o_orderkey, array_to_string({ID_LIST}, ',') as ids from {_IL} l where {HAS_ANY_ID}")
+# all ids of a customer that some row of theirs ties together; ids of several
+# customers never meet, so the closure stays small
+ORACLES["components_every_column"] = ORACLES["connected_components"].replace(AL, _IL)
+# known from the binding: the hub's ids, the chain's ids, and single ids
+ORACLES["components_hub_and_chain"] = (
+    f"with e as (select * from {_b('hub_chain_edges')} x), v as (select src as id from e union select dst from e) "
+    "select id, min(id) over (partition by case when id[1] = 's' then id else id[1] end) as component from v"
+)
+ORACLES["component_attributes"] = (
+    _CC_CTE + "select component, id as member, c_name, c_mktsegment from labels "
+    "left join customer on id = 'IM:' || cast(c_custkey as varchar)"
+)
+
+# --- jobs: the same rows as the plans they write ------------------------------------------
+
+ORACLES["job_etl_plain"] = ORACLES["etl_parse_log"]
+ORACLES["job_etl_partitioned"] = ORACLES["etl_parse_log"]
+ORACLES["job_location_report_json"] = ORACLES["funnel_location_cumulative"]
+ORACLES["job_app_dictionary"] = ORACLES["app_dictionary_strict"]
+_STOP = f"(select value from {_b('stopword_lines')} s)"
+ORACLES["job_user_tags"] = (
+    "select *, '2024-05-01' as day from (" + _counted(_tag_rows(_USERS, "user_id", stop=_STOP), "user_id") + ") p"
+)

@@ -56,6 +56,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+def scratch_path(spark, name: str) -> str:
+    """A new path below the checkpoint folder."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/adlumen-{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df, name: str, metrics=None):
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -69,7 +76,7 @@ def materialize(df, name: str, metrics=None):
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/adlumen-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     obs = None
     if metrics:
         obs = Observation(f"adlumen_{name}_{uuid.uuid4().hex[:8]}")

@@ -18,7 +18,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlumen.schema import LOG_FIELDS
+from adlumen.schema import ID_COLUMNS, LOG_FIELDS
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -167,12 +167,46 @@ def _raw_lines_text() -> str:
     )
 
 
+def _id_log_text() -> str:
+    """One row per order with every id column in turn the first that is filled.
+
+    ``k`` is the first filled position (from 15 on: none); later positions are
+    filled now and then, the others are null, a space or empty.
+    """
+    cols = []
+    for j, name in enumerate(ID_COLUMNS):
+        cols.append(
+            f"case when k = {j} or (k < {j} and ({j} - k) % 4 = 1) "
+            f"then concat('{name[:2]}', cast(o_custkey as string)) "
+            f"when (o_orderkey + {j}) % 5 = 0 then cast(null as string) "
+            f"when (o_orderkey + {j}) % 5 = 1 then ' ' else '' end as {name}")
+    return ("select o_orderkey, " + ",\n  ".join(cols)
+            + "\nfrom (select o_orderkey, o_custkey, cast(o_orderkey % 17 as int) as k from {orders}) o")
+
+
+# Edges with a hub that holds a third of all ids, a chain of another third,
+# and single ids.
+_HUB_CHAIN_TEXT = (
+    "select case cast(o_orderkey % 3 as int) when 0 then 'hub'\n"
+    "    when 1 then concat('c', cast(o_orderkey - 3 as string)) else concat('s', cast(o_orderkey as string)) end as src,\n"
+    "  concat(case cast(o_orderkey % 3 as int) when 0 then 'h' when 1 then 'c' else 's' end,\n"
+    "    cast(o_orderkey as string)) as dst\n"
+    "from {orders}"
+)
+
+# Stop words: the first word of every part name.
+_STOPWORD_TEXT = "select distinct split_part(p_name, ' ', 1) as value from {part}"
+
+
 BINDINGS = {
     "ad_log": (_ad_log_text(), ["lineitem", "orders", "customer", "nation", "region", "part"]),
     "geo_points": (_GEO_TEXT, ["customer"]),
     "geo_responses": (_GEO_RESPONSES_TEXT, ["customer", "nation"]),
     "app_dictionary_lines": (_DICTIONARY_TEXT, ["part"]),
     "raw_log_lines": (_raw_lines_text(), ["ad_log"]),
+    "id_log": (_id_log_text(), ["orders"]),
+    "hub_chain_edges": (_HUB_CHAIN_TEXT, ["orders"]),
+    "stopword_lines": (_STOPWORD_TEXT, ["part"]),
 }
 
 

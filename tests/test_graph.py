@@ -1,7 +1,8 @@
 import random
 
 from adlumen.operators.graph import (
-    component_members, component_sizes, connected_components, verify_components,
+    MAX_HOT_NAME_BYTES, component_attributes, component_members, component_sizes,
+    connected_components, verify_components,
 )
 
 
@@ -82,3 +83,18 @@ def test_members_and_sizes(spark):
     members = sorted(tuple(r) for r in component_members(lab).collect())
     assert members == [("a", "a"), ("a", "b"), ("a", "c"), ("d", "d"), ("d", "e")]
     assert dict(component_sizes(lab).collect()) == {"a": 3, "d": 2}
+
+
+def test_hot_names_too_long_to_broadcast(spark):
+    """Hubs on both sides of the edges; one has a name beyond the broadcast bound."""
+    long = "z" * (MAX_HOT_NAME_BYTES + 1)
+    edges = [(long, f"a{i:03d}") for i in range(60)] + [(f"b{i:03d}", "hub") for i in range(60)]
+    assert _labels(spark, edges, hot_degree=20) == _union_find(edges)
+
+
+def test_attributes_of_members(spark):
+    labels = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "c")], "id string, component string")
+    names = spark.createDataFrame([("a", "A", 1), ("b", None, 2), ("x", "X", 3)], "id string, name string, n int")
+    got = component_attributes(labels, names)
+    assert got.columns == ["component", "member", "name", "n"]
+    assert {tuple(r) for r in got.collect()} == {("a", "a", "A", 1), ("a", "b", None, 2), ("c", "c", None, None)}

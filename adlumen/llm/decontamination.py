@@ -27,6 +27,7 @@ doc_id is reported as null; an empty table on either side gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,6 +48,7 @@ VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.6, 0.7
 LEAST = 6
 BLOCK = 2048
 SEED = 5
+RUN = 32                      # rows of a key that are added place by place
 _WORD = re.compile(r"\w+")
 
 
@@ -106,7 +108,8 @@ def _coder(terms: dict[str, int]):
     get = terms.get
 
     def code(text: str | None) -> np.ndarray:
-        return np.array([get(w, -1) for w in split_words(text)], dtype=np.int32)
+        words = split_words(text)
+        return np.fromiter(map(get, words, itertools.repeat(-1)), dtype=np.int32, count=len(words))
 
     return code
 
@@ -125,10 +128,28 @@ def _occurrences(ids: list[np.ndarray], width: int, light: np.ndarray, gap: int)
     return np.concatenate(spans), np.concatenate(terms), np.array(first, dtype=np.int64), at
 
 
-def _sums(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (sorted) keys and the sums of their rows."""
-    cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[cut], np.add.reduceat(rows, cut, axis=0)
+def _sums(source: np.ndarray, rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (sorted) keys and, of each, the sum of ``source[rows]`` over its places.
+
+    A key's places are cut into runs of ``RUN``; the first places of all runs
+    are added at once, then the second ones, and so on, longest runs first.
+    """
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    end = np.append(start[1:], len(keys))
+    runs = -(-(end - start) // RUN)
+    first = np.cumsum(runs) - runs
+    key = np.repeat(np.arange(len(start)), runs)
+    begin = start[key] + (np.arange(len(key)) - first[key]) * RUN
+    size = np.minimum(RUN, end[key] - begin)
+    order = np.argsort(-size, kind="stable")
+    begin = begin[order]
+    total = source[rows[begin]]
+    for k in range(1, int(size.max(initial=1))):
+        n = np.count_nonzero(size > k)
+        total[:n] += source[rows[begin[:n] + k]]
+    out = np.empty_like(total)
+    out[order] = total
+    return keys[start], out if len(key) == len(start) else np.add.reduceat(out, first, axis=0)
 
 
 def corpus_sketch(docs: DataFrame, block: Block, omega: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
@@ -149,16 +170,15 @@ def corpus_sketch(docs: DataFrame, block: Block, omega: np.ndarray) -> tuple[flo
             if not len(term):
                 continue
             pair, tf = np.unique(span * n + term, return_counts=True)
-            span, term = pair // n, pair % n
-            df += np.bincount(term, minlength=n)
-            squares += np.bincount(term, weights=tf.astype(float) ** 2, minlength=n)
-            weight = tf.astype(np.float32)[:, None]
-            for a in range(0, len(pair), 1 << 16):  # a bounded part of the passages at a time
-                b = min(len(pair), a + (1 << 16))
-                keys, z = _sums(om[term[a:b]] * weight[a:b], span[a:b])
-                order = np.argsort(term[a:b], kind="stable")
-                where = np.searchsorted(keys, span[a:b][order])
-                t, y = _sums(z[where] * weight[a:b][order], term[a:b][order])
+            df += np.bincount(pair % n, minlength=n)
+            squares += np.bincount(pair % n, weights=tf.astype(float) ** 2, minlength=n)
+            for a in range(0, count, 4096):  # whole passages, a bounded number at a time
+                lo, hi = np.searchsorted(span, [a, a + 4096])
+                if lo == hi:
+                    continue
+                keys, z = _sums(om, term[lo:hi], span[lo:hi])
+                order = lo + np.argsort(term[lo:hi], kind="stable")
+                t, y = _sums(z, np.searchsorted(keys, span[order]), term[order])
                 sketch[t] += y
         flat = np.concatenate([[passages], df, squares, sketch.ravel()]).astype(np.float32)
         yield pa.RecordBatch.from_pydict({"v": [flat.tobytes()]}, schema=pa.schema([("v", pa.binary())]))
@@ -262,7 +282,7 @@ def _search(index: Index):
             if lo == hi:
                 continue
             sums = np.zeros((4096 + 2, index.vectors.shape[1]), dtype=np.float32)
-            keys, rows = _sums(index.vectors[term[lo:hi]], span[lo:hi])
+            keys, rows = _sums(index.vectors, term[lo:hi], span[lo:hi])
             sums[keys - a] = rows
             windows = sums[:-2] + sums[1:-1] + sums[2:]
             norm = np.sqrt(np.einsum("ij,ij->i", windows, windows))

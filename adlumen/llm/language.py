@@ -21,10 +21,10 @@ rows; repeated rows are scored alike; whole texts are read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +34,7 @@ N = 4                  # characters of an n-gram
 MIN_SHARE = 2e-5       # of a language's n-grams
 SLOTS = 1 << 20
 HASHES = 2
+HELD = 2_000_000       # n-grams that a counting task holds, of all languages together
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -85,7 +86,7 @@ class Filters:
         return len(h), out
 
     def decide(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(m[0].isalpha() for m in _LETTER.finditer(text)):
             return UND, 0.0
         n, hits = self.hits(text)
         right = np.clip((hits - n * self.rates) / (1 - self.rates), 0, n)
@@ -98,39 +99,40 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
 
     def make():
         held: dict[str, list[np.ndarray]] = {}
-        size: Counter = Counter()
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-        def settle(lang):
-            g, c = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-            size[lang] = 0
-            if lang in sums:
-                g0, c0 = sums[lang]
-                allg, at = np.unique(np.concatenate([g0, g]), return_inverse=True)
-                g, c = allg, np.bincount(at, weights=np.concatenate([c0, c])).astype(np.int64)
-            sums[lang] = g, c
-
-        def flush(least):
-            out: dict[str, list] = {"lang": [], "gram": [], "n": []}
-            for lang in [x for x, (g, _) in sums.items() if len(g) >= least]:
-                g, c = sums.pop(lang)
-                out["lang"] += [lang] * len(g)
-                out["gram"] += g.view(np.int64).tolist()
-                out["n"] += c.tolist()
-            return out if out["n"] else None
+        waiting = 0
+
+        def settle():
+            nonlocal waiting
+            waiting = 0
+            for lang in list(held):
+                g, c = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+                if lang in sums:
+                    g0, c0 = sums[lang]
+                    g, at = np.unique(np.concatenate([g0, g]), return_inverse=True)
+                    c = np.bincount(at, weights=np.concatenate([c0, c])).astype(np.int64)
+                sums[lang] = g, c
+
+        def flush():
+            parts = sorted(sums.items())
+            sums.clear()
+            return {"lang": pa.concat_arrays([pa.repeat(pa.scalar(x, pa.string()), len(g)) for x, (g, _) in parts]),
+                    "gram": np.concatenate([g.view(np.int64) for _, (g, _) in parts]),
+                    "n": np.concatenate([c for _, (_, c) in parts])} if parts else None
 
         def step(cols):
+            nonlocal waiting
             if cols is None:
-                for lang in list(held):
-                    settle(lang)
-                return flush(0)
+                settle()
+                return flush()
             for lang, text in zip(cols["lang"], cols["text"], strict=True):
                 g = ngrams(text)
                 held.setdefault(lang, []).append(g)
-                size[lang] += len(g)
-                if size[lang] >= 2_000_000:
-                    settle(lang)
-            return flush(1_000_000)
+                waiting += len(g)
+            if waiting < HELD:
+                return None
+            settle()
+            return flush() if sum(len(g) for g, _ in sums.values()) >= HELD else None
 
         return step
 

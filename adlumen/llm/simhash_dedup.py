@@ -42,6 +42,7 @@ from adlumen.session import materialize
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CROWD = 32_768
+HOT = 10_000            # a fingerprint is hot if over one row in HOT has it; so fewer than HOT are
 HAMMING = 31
 
 
@@ -233,8 +234,9 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row."""
     rows, _, _ = materialize(fingerprints(docs, shingle), "simhash")
-    names = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    distinct, _, _ = materialize(names, "simhash-distinct")
+    names = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    distinct, _, seen = materialize(names, "simhash-distinct", [
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows")])
     edges = links(distinct, max_distance)
     labels = connected_components(edges.select(F.col("src").cast("string").alias("src"),
                                                F.col("dst").cast("string").alias("dst")))
@@ -243,7 +245,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
     linked = labels.join(distinct, "fp")
     named = linked.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = distinct.join(labels.join(named, "component").select("fp", "component_id"), "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id"))
+        "fp", F.coalesce("component_id", "first").alias("component_id"), (F.col("n") * HOT > seen["rows"]).alias("hot"))
     table, _, _ = materialize(by_fp, "simhash-components")
-    return rows.join(table, "fp").select(
+    # rows of hot fingerprints (copies, empty texts) are named where they are; the rest is shuffled
+    hot = table.where("hot").drop("hot")
+    here = rows.join(F.broadcast(hot), "fp")
+    rest = rows.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(table.where("not hot").drop("hot"), "fp")
+    return here.unionByName(rest).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -1,7 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 The benchmark's items are the stated queries; they come in blocks of ``BLOCK``
-passages, each block in two passes over all documents.
+passages, each block in two passes over all documents.  Items of more than
+``PASSAGE`` words give overlapping passages, a quarter of their length apart, so
+an excerpt that would suffice at one place of the item suffices at any other.
 
 1. Every task turns its documents into passages over the block's terms and sums
    document frequencies and (TF^T TF) Omega, a randomised range finder with one
@@ -83,8 +85,22 @@ def _make_block(items, passages) -> Block:
     return Block(items, coded, terms, share > COMMON if len(coded) >= 20 else np.zeros(len(terms), dtype=bool))
 
 
+def passage_spans(n: int) -> list[tuple[int, int]]:
+    """Passages of an item of ``n`` words.
+
+    Besides the parts that do not overlap there is one of ``width`` words at
+    every ``width // 4`` words: any ``VERBATIM`` of a width in a row lies in one of them.
+    """
+    parts = max(1, -(-n // PASSAGE))
+    spans = {(int(x[0]), int(x[-1]) + 1) for x in np.array_split(np.arange(n), parts)}
+    if parts > 1:
+        width = n // parts
+        spans.update((at, at + width) for at in [*range(0, n - width, width // 4), n - width])
+    return sorted(spans)
+
+
 def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]:
-    """The benchmark in blocks; long items are cut into passages."""
+    """The benchmark in blocks; long items are cut into overlapping passages."""
     items: list[int | None] = []
     passages: list[list[str]] = []
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -92,10 +108,9 @@ def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]
         words = split_words(r.text)
         if len(words) < LEAST:
             continue
-        parts = max(1, -(-len(words) // PASSAGE))
-        for part in np.array_split(np.arange(len(words)), parts):
+        for start, end in passage_spans(len(words)):
             items.append(r.item_id)
-            passages.append(words[part[0]: part[-1] + 1])
+            passages.append(words[start:end])
         if len(passages) >= size:
             yield _make_block(items, passages)
             items, passages = [], []

@@ -140,6 +140,28 @@ def test_decontamination(spark):
     assert decontamination.contaminated(df, bench.limit(0)).collect() == []
 
 
+def said(rng, n):
+    return [rng.choice("bcdfghjklm") + rng.choice("aeiou") + rng.choice(("tor", "ril", "lan", "mus")) + str(rng.randrange(9))
+            for _ in range(n)]
+
+
+def test_excerpts_across_the_cuts_of_long_items(spark):
+    rng = random.Random(11)
+    sizes = [(96, 56, 20), (96, 64, 16), (58, 32, 13), (58, 40, 9), (96, 36, 30), (150, 40, 83)]
+    items = [said(rng, n) for n, _, _ in sizes]
+    texts = [" ".join(said(rng, 70) + item[at: at + size] + said(rng, 70))
+             for item, (_, size, at) in zip(items, sizes, strict=True)]
+    df = helpers.docs(spark, texts + [" ".join(said(rng, 200)) for _ in range(40)])
+    bench = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(items)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(df, bench).collect()}
+    assert got == {(i, i) for i in range(len(sizes))}
+    for n in range(49, 200):  # three quarters of a passage's words in a row lie in one passage
+        spans = decontamination.passage_spans(n)
+        width = min(b - a for a, b in spans)
+        need = -(-3 * width // 4)
+        assert all(any(a <= x and x + need <= b for a, b in spans) for x in range(n - need + 1))
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):

@@ -14,7 +14,10 @@ an excerpt that would suffice at one place of the item suffices at any other.
    among the leading directions; QR gives the basis.
 2. Overlapping windows of every document are projected and compared with all
    passages of the block by cosine; a window must also contain ``CONTAINED`` of
-   the passage's length along its direction.  Candidates are checked exactly: the
+   the passage's length along its direction.  The latent space blurs as passages
+   per dimension grow and as passages get shorter than the window, so every place
+   that has ``SHINGLE`` words in a row of a passage is a candidate as well.
+   Candidates are checked exactly: the
    longest common subsequence of the words around the window with the passage,
    and, for paraphrases, whether the answer is there, that is the passage's rarest terms.
 
@@ -48,6 +51,7 @@ COSINE = 0.35
 CONTAINED = 0.45              # of a passage's vector must lie in the window's
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.6, 0.7
 LEAST = 6
+SHINGLE = 3                   # words in a row that make a candidate by themselves
 BLOCK = 2048
 SEED = 5
 RUN = 32                      # rows of a key that are added place by place
@@ -252,6 +256,42 @@ def common_subsequence(masks: dict[int, int], length: int, words) -> int:
     return length - v.bit_count()
 
 
+class Shingles:
+    """All runs of ``SHINGLE`` words of a block's passages, by exact keys."""
+
+    def __init__(self, block: Block):
+        self.base = max(1, len(block.terms))  # at most some 10^5 terms: the cube fits a bigint
+        found = [(self.keys(p), k) for k, p in enumerate(block.passages)]
+        keys = np.concatenate([x for x, _ in found])
+        order = np.argsort(keys, kind="stable")
+        self.passage = np.concatenate([np.full(len(x), k) for x, k in found])[order]
+        self.offset = np.concatenate([np.arange(len(x)) for x, _ in found])[order]
+        self.known, self.first, self.places = np.unique(keys[order], return_index=True, return_counts=True)
+
+    def keys(self, x: np.ndarray) -> np.ndarray:
+        x = x.astype(np.int64)
+        key = np.zeros(max(0, len(x) - SHINGLE + 1), dtype=np.int64)
+        for k in range(SHINGLE):
+            key = key * self.base + x[k: len(x) - SHINGLE + 1 + k]
+        return key
+
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct windows and passages of a text: where a passage would begin if its shingle stands there."""
+        at = np.flatnonzero(ids >= 0)
+        at = at[: max(0, len(at) - SHINGLE + 1)][at[SHINGLE - 1:] - at[: max(0, len(at) - SHINGLE + 1)] == SHINGLE - 1]
+        key = np.zeros(len(at), dtype=np.int64)
+        for k in range(SHINGLE):
+            key = key * self.base + ids[at + k]
+        place = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
+        hit = self.known[place] == key
+        at, place = at[hit], place[hit]
+        times = self.places[place]
+        row = np.repeat(self.first[place] + times - np.cumsum(times), times) + np.arange(times.sum())
+        window = np.maximum(np.repeat(at, times) - self.offset[row], 0) // STRIDE
+        pair = np.unique(window * len(self.passage) + self.passage[row])
+        return pair // len(self.passage), pair % len(self.passage)
+
+
 MATCH = ("doc_id bigint, item_id bigint, cosine double, common_words int, passage_words int, "
          "share double, answer_share double, first_word bigint")
 
@@ -266,6 +306,7 @@ def _search(index: Index):
             m[t] = m.get(t, 0) | 1 << i
         masks.append(m)
     passages = np.ascontiguousarray(index.embedded.T)
+    shingles = Shingles(block)
     enough = CONTAINED * index.norms[None, :]
 
     # how often each term stands in each passage: bounds a common subsequence from above
@@ -288,7 +329,7 @@ def _search(index: Index):
             yield p, common, common / int(lengths[p]), len(answer.intersection(words)) / len(answer)
 
     def candidates(ids: list[np.ndarray]):
-        """(text, window, passages, cosines) of all windows near a passage."""
+        """(text, window, passages) of all windows near a passage."""
         span, term, first, count = _occurrences(ids, STRIDE, block.light, 2)
         if not len(term):
             return
@@ -304,24 +345,37 @@ def _search(index: Index):
             full = np.flatnonzero(norm > 1e-6)
             product = windows[full] @ passages
             at, p = np.nonzero(product >= np.maximum(COSINE * norm[full][:, None], enough))
-            cosine = product[at, p] / norm[full[at]]
             if not len(at):
                 continue
             cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             for lo, hi in zip(cuts, [*cuts[1:], len(at)], strict=True):
                 place = int(full[at[lo]]) + a
                 text = int(np.searchsorted(first, place, side="right")) - 1
-                yield text, place - int(first[text]), p[lo:hi], cosine[lo:hi]
+                yield text, place - int(first[text]), p[lo:hi]
+
+    def copies(ids: list[np.ndarray]):
+        """(text, window, passages) of all places that share a shingle with a passage."""
+        for text, x in enumerate(ids):
+            window, p = shingles.hits(x)
+            if len(p):
+                cuts = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
+                for lo, hi in zip(cuts, [*cuts[1:], len(p)], strict=True):
+                    yield text, int(window[lo]), p[lo:hi]
+
+    def closeness(ids: np.ndarray, window: int, p: int) -> float:
+        words = ids[window * STRIDE: window * STRIDE + PASSAGE]
+        v = index.vectors[words[words >= 0]].sum(axis=0)
+        return float(v @ index.embedded[p]) / max(float(np.linalg.norm(v)), 1e-9)
 
     def step(cols):
         out: dict[str, list] = {c.split()[0]: [] for c in MATCH.split(", ")}
         ids = [code(t) for t in cols["text"]]
         best: dict[tuple[int, int | None], tuple] = {}
-        for text, window, near, cosines in candidates(ids):
+        for text, window, near in itertools.chain(candidates(ids), copies(ids)):
             for p, common, share, answer in check(ids[text], window, near):
                 if share < VERBATIM and not (share >= PARAPHRASE and answer >= ANSWER):
                     continue
-                key, cosine = (text, block.items[p]), float(cosines[near == p][0])
+                key, cosine = (text, block.items[p]), closeness(ids[text], window, p)
                 if key not in best or (share, cosine) > (best[key][2], best[key][0]):
                     best[key] = (cosine, common, share, answer, int(lengths[p]), window * STRIDE)
         for (text, item), (cosine, common, share, answer, length, start) in best.items():

@@ -162,6 +162,18 @@ def test_excerpts_across_the_cuts_of_long_items(spark):
         assert all(any(a <= x and x + need <= b for a, b in spans) for x in range(n - need + 1))
 
 
+def test_copies_are_found_whatever_the_latent_space_says():
+    rng = random.Random(12)
+    items = [said(rng, rng.randrange(6, decontamination.PASSAGE + 1)) for _ in range(60)]
+    texts = [" ".join(said(rng, rng.randrange(60)) + p + said(rng, rng.randrange(60))) for p in items]
+    block = decontamination._make_block(list(range(60)), items)
+    nothing = np.zeros((len(block.terms), 4), dtype=np.float32)  # no term has a place in the latent space
+    index = decontamination.Index(block, nothing, np.zeros((60, 4), dtype=np.float32), np.ones(60, dtype=np.float32),
+                                  [frozenset(p.tolist()) for p in block.passages])
+    out = decontamination._search(index)({"doc_id": list(range(62)), "text": [*texts, None, "two words"]})
+    assert sorted(zip(out["doc_id"], out["item_id"], out["share"], strict=True)) == [(i, i, 1.0) for i in range(60)]
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):

@@ -24,9 +24,12 @@ an excerpt that would suffice at one place of the item suffices at any other.
 A document is contaminated by a passage if the subsequence covers ``VERBATIM``
 of it, or covers ``PARAPHRASE`` of it and the text has ``ANSWER`` of the answer.
 
-Defined cases: null and empty texts have no words and are clean; items with
-fewer than ``LEAST`` words are no evidence and are skipped; items that repeat
-are each reported; a document row that repeats is reported once; a null
+Items with fewer than ``LEAST`` words are found by their whole run of words, in
+one pass for all of them.  In scripts written without spaces every character
+counts as a word, so their passages are found by characters in a row.
+
+Defined cases: null and empty texts have no words and are clean; an item
+without words is in no document; items that repeat are each reported; a document row that repeats is reported once; a null
 doc_id is reported as null; an empty table on either side gives no rows.
 """
 
@@ -56,11 +59,23 @@ BLOCK = 2048
 SEED = 5
 RUN = 32                      # rows of a key that are added place by place
 _WORD = re.compile(r"\w+")
+# Thai, Lao, Myanmar, Khmer, kana, Han (extensions as well): no spaces between words
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD_OR_CHARACTER = re.compile(f"[{_UNSPACED}]|[^\\W{_UNSPACED}]+")
 
 
 def split_words(text: str | None) -> list[str]:
-    """Runs of letters, digits and underscores, in lower case."""
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters, digits and underscores, in lower case; single characters of unspaced scripts."""
+    if not text:
+        return []
+    text = text.lower()
+    try:
+        text.encode("latin-1")  # much faster than the search
+    except UnicodeEncodeError:
+        if _ANY_UNSPACED.search(text):
+            return _WORD_OR_CHARACTER.findall(text)
+    return _WORD.findall(text)
 
 
 @dataclass
@@ -387,6 +402,54 @@ def _search(index: Index):
     return step
 
 
+def short_items(benchmark: DataFrame, size: int = 50 * BLOCK) -> Iterator[dict[tuple, list]]:
+    """The items of fewer than ``LEAST`` words, as ids by words, some at a time."""
+    def make():
+        def step(cols):
+            words = [split_words(t) for t in cols["text"]]
+            keep = [k for k, w in enumerate(words) if 0 < len(w) < LEAST]
+            return {"item_id": [cols["item_id"][k] for k in keep], "words": [words[k] for k in keep]}
+
+        return step
+
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    found: dict[tuple, list] = {}
+    n = 0
+    for r in arrow_map(items, "item_id bigint, words array<string>", make).distinct().toLocalIterator():
+        found.setdefault(tuple(r.words), []).append(r.item_id)
+        n += 1
+        if n >= size:
+            yield found
+            found, n = {}, 0
+    if n:
+        yield found
+
+
+def _search_short(items: dict[tuple, list]):
+    """Whole items of few words: the first place of each in every text."""
+    sizes = sorted({len(k) for k in items})
+    starts = {k[0] for k in items}
+
+    def step(cols):
+        out: dict[str, list] = {c.split()[0]: [] for c in MATCH.split(", ")}
+        for doc_id, text in zip(cols["doc_id"], cols["text"], strict=True):
+            words, seen = split_words(text), set()
+            for at, word in enumerate(words):
+                if word not in starts:
+                    continue
+                for n in sizes:
+                    key = tuple(words[at: at + n])
+                    if len(key) < n or key in seen or key not in items:
+                        continue
+                    seen.add(key)
+                    for item in items[key]:
+                        for name, value in zip(out, (doc_id, item, 1.0, n, n, 1.0, 1.0, at), strict=True):
+                            out[name].append(value)
+        return out
+
+    return step
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per (doc_id, item_id) of a document that holds a benchmark passage."""
     spark = docs.sparkSession
@@ -395,6 +458,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in benchmark_blocks(benchmark):
         sent = spark.sparkContext.broadcast(build_index(rows, block))
         found = found.unionByName(arrow_map(rows, MATCH, lambda sent=sent: _search(sent.value)))
+    for items in short_items(benchmark):
+        few = spark.sparkContext.broadcast(items)
+        found = found.unionByName(arrow_map(rows, MATCH, lambda few=few: _search_short(few.value)))
     # blocks and passages of one item meet here; only matches are shuffled
     best = F.max(F.struct("share", "cosine", *[c for c in found.columns if c not in
                                                ("doc_id", "item_id", "share", "cosine")])).alias("m")

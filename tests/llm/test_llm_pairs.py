@@ -174,6 +174,21 @@ def test_copies_are_found_whatever_the_latent_space_says():
     assert sorted(zip(out["doc_id"], out["item_id"], out["share"], strict=True)) == [(i, i, 1.0) for i in range(60)]
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    rng = random.Random(13)
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(30))
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(70))
+    other = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(25)) for _ in range(2)]
+    items = [(1, "Two words"), (2, "alone!"), (3, han), (4, thai), (5, "one two three four five"), (6, "..."), (7, "two words"),
+             (8, other[0][:3])]
+    texts = ["here are two words, and more", "ALONE", other[0] + han + other[1], "x" + thai[15:] + "y", "one two three four",
+             "zero one two three four five six", "words two", "二", None, ""]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = decontamination.contaminated(helpers.docs(spark, texts), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(0, 1), (0, 7), (1, 2), (2, 3), (3, 4), (5, 5), (2, 8)}
+    assert decontamination.split_words("Ab c_1, é漢字kana") == ["ab", "c_1", "é", "漢", "字", "kana"]
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):

@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-The benchmark's items are the stated queries; they come in blocks of ``BLOCK``
-passages, each block in two passes over all documents.  Items of more than
+The benchmark's items are the stated queries; they come in the order of their
+ids in blocks of ``BLOCK`` passages, each block in two passes over all documents.  Items of more than
 ``PASSAGE`` words give overlapping passages, a quarter of their length apart, so
 an excerpt that would suffice at one place of the item suffices at any other.
 
@@ -49,7 +49,6 @@ from adlumen.llm.common import arrow_map, steps, tree_sum
 STRIDE = 16                   # words; a window is three strides
 PASSAGE = 3 * STRIDE
 DIMENSIONS = 128
-COMMON = 0.2                  # terms of more passages than this have no weight
 COSINE = 0.35
 CONTAINED = 0.45              # of a passage's vector must lie in the window's
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.6, 0.7
@@ -85,23 +84,18 @@ class Block:
     items: list[int | None]
     passages: list[np.ndarray]       # term numbers in order
     terms: dict[str, int]
-    light: np.ndarray                # terms without weight
 
     def counts(self) -> np.ndarray:
         tf = np.zeros((len(self.passages), len(self.terms)), dtype=np.float32)
         for row, p in zip(tf, self.passages, strict=True):
             np.add.at(row, p, 1)
-        tf[:, self.light] = 0
         return tf
 
 
 def _make_block(items, passages) -> Block:
     terms: dict[str, int] = {}
     coded = [np.array([terms.setdefault(w, len(terms)) for w in p], dtype=np.int32) for p in passages]
-    share = np.zeros(len(terms))
-    for p in coded:
-        share[np.unique(p)] += 1 / len(coded)
-    return Block(items, coded, terms, share > COMMON if len(coded) >= 20 else np.zeros(len(terms), dtype=bool))
+    return Block(items, coded, terms)
 
 
 def passage_spans(n: int) -> list[tuple[int, int]]:
@@ -119,11 +113,11 @@ def passage_spans(n: int) -> list[tuple[int, int]]:
 
 
 def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]:
-    """The benchmark in blocks; long items are cut into overlapping passages."""
+    """The benchmark in blocks, by item_id; long items are cut into overlapping passages."""
     items: list[int | None] = []
     passages: list[list[str]] = []
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for r in rows.where(F.col("text").isNotNull()).toLocalIterator():
+    for r in rows.where(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
         words = split_words(r.text)
         if len(words) < LEAST:
             continue
@@ -148,14 +142,13 @@ def _coder(terms: dict[str, int]):
     return code
 
 
-def _occurrences(ids: list[np.ndarray], width: int, light: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Weighted terms of several texts: span number and term of each, the texts'
+def _occurrences(ids: list[np.ndarray], width: int, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Terms of several texts: span number and term of each, the texts'
     first spans, and the number of spans (``width`` words; ``gap`` empty spans after a text)."""
     spans, terms, first, at = [], [], [], 0
     for x in ids:
         first.append(at)
         known = np.flatnonzero(x >= 0)
-        known = known[~light[x[known]]]
         spans.append(at + known // width)
         terms.append(x[known])
         at += -(-len(x) // width) + gap
@@ -192,14 +185,14 @@ def corpus_sketch(docs: DataFrame, block: Block, omega: np.ndarray) -> tuple[flo
     import pyarrow as pa
 
     n, k = omega.shape
-    sent = docs.sparkSession.sparkContext.broadcast((block.terms, block.light, omega))
+    sent = docs.sparkSession.sparkContext.broadcast((block.terms, omega))
 
     def run(batches):
-        terms, light, om = sent.value
+        terms, om = sent.value
         code = _coder(terms)
         df, squares, sketch, passages = np.zeros(n), np.zeros(n), np.zeros((n, k)), 0
         for cols in steps(batches, "text"):
-            span, term, _, count = _occurrences([code(t) for t in cols["text"]], PASSAGE, light, 0)
+            span, term, _, count = _occurrences([code(t) for t in cols["text"]], PASSAGE, 0)
             passages += count
             if not len(term):
                 continue
@@ -243,7 +236,6 @@ def build_index(docs: DataFrame, block: Block, dimensions: int = DIMENSIONS) ->
     passages, df, squares, sketch = corpus_sketch(docs, block, omega)
     own = (tf > 0).sum(axis=0)
     idf = np.log((1 + passages + len(tf)) / (1 + df + own)) + 1e-3
-    idf[block.light] = 0
     energy, own_energy = float((idf ** 2 * squares).sum()), float(((tf * idf) ** 2).sum())
     y = idf[:, None] * (sketch / max(energy, 1e-9) + tf.T @ (tf @ omega) / max(own_energy, 1e-9))
     basis, _ = np.linalg.qr(y)
@@ -345,7 +337,7 @@ def _search(index: Index):
 
     def candidates(ids: list[np.ndarray]):
         """(text, window, passages) of all windows near a passage."""
-        span, term, first, count = _occurrences(ids, STRIDE, block.light, 2)
+        span, term, first, count = _occurrences(ids, STRIDE, 2)
         if not len(term):
             return
         for a in range(0, count, 4096):

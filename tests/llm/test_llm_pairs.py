@@ -189,6 +189,20 @@ def test_short_items_and_scripts_without_spaces(spark):
     assert decontamination.split_words("Ab c_1, é漢字kana") == ["ab", "c_1", "é", "漢", "字", "kana"]
 
 
+def test_blocks_do_not_change_what_a_term_weighs(spark):
+    rng = random.Random(14)
+    bench = spark.createDataFrame([(i, " ".join(["so", "it", "is"] + said(rng, 12))) for i in range(50)]
+                                  + [(50, "so it is so it is so it is")], "item_id bigint, text string")
+    docs = helpers.docs(spark, [" ".join(said(rng, 100)) + " so it is so it is so it is"])
+    orders = []
+    for parts in (1, 7):  # the order of the rows does not matter either
+        blocks = list(decontamination.benchmark_blocks(bench.repartition(parts), 25))
+        orders.append([i for b in blocks for i in b.items])
+        index = decontamination.build_index(docs, blocks[0])
+        assert (np.linalg.norm(index.vectors, axis=1) > 0).all() and (blocks[0].counts().sum(axis=1) == 15).all()
+    assert orders == [list(range(51))] * 2
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):

@@ -46,7 +46,9 @@ CONTENT_WORDS = frozenset("article post entry story content main body text".spli
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_EACH_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -71,6 +73,18 @@ def _names(attributes: str) -> list[str]:
     return out
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether an attribute of its own hides the element."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for m in _EACH_ATTR.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").strip().lower()
+        if (name == "hidden" and value in ("", "hidden", "true") or name == "aria-hidden" and value == "true"
+                or name == "style" and _NO_DISPLAY.search(value)):
+            return True
+    return False
+
+
 def _kind(tag: str, attributes: str, in_content: bool) -> str:
     """What an element says about its inside: boiler, content or nothing."""
     if tag in CONTENT_TAGS:
@@ -79,7 +93,7 @@ def _kind(tag: str, attributes: str, in_content: bool) -> str:
     if tag in BOILER_TAGS and not (tag == "header" and in_content):
         return "boiler"
     if attributes and tag != "body" and tag != "html":
-        if _HIDDEN.search(attributes):
+        if _hidden(attributes):
             return "boiler"
         names = _names(attributes)
         if any(n in BOILER_WORDS for n in names):

@@ -209,3 +209,13 @@ def test_oracles(spark):
         mine = sorted(tuple(map(str, r)) for r in df.select(*cols).collect())
         theirs = con.execute(f"select {', '.join(cols)} from ({e.oracle_sql()[name]})").fetchall()
         assert mine == sorted(tuple(map(str, r)) for r in theirs)
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    shown = ['class="overflow-hidden"', 'aria-hidden="false"', 'data-hidden="x"', 'class="hidden"', 'hidden="false"',
+             "data-style='display:none'", 'title="hidden"', 'style="color:red"', 'class="a hidden b"']
+    hides = ["hidden", 'id="x" HIDDEN class="y"', "hidden=''", "hidden=hidden", 'hidden="true"', "aria-hidden=true",
+             'aria-hidden = "TRUE"', 'style="color:red; display : none"', "style='display:none!important'"]
+    for attributes, boiler in [*((a, False) for a in shown), *((a, True) for a in hides)]:
+        page = f"<html><body><div {attributes}><p>Some words of text.</p></div></body></html>"
+        assert [b.boiler for b in html_text.blocks(page)] == [boiler], attributes

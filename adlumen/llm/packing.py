@@ -2,7 +2,8 @@
 
 A document's ids (with an end id) are cut only if they exceed the token
 capacity: the first piece takes the remainder, all others are full.  Pieces
-are dealt to shards of about ``SHARD`` pieces by a hash; each shard is packed
+are dealt to shards of about ``SHARD`` pieces by a hash of their row numbers, so
+that equal rows spread as well; each shard is packed
 on its own, longest piece first.  A bin has a residual vector (tokens,
 documents, attention cost = sum of squared piece lengths); of the bins that
 can take a piece under every capacity, the one whose weighted residual
@@ -118,9 +119,9 @@ def best_fit(lengths: np.ndarray, capacity: Capacity, select: str = "norm") -> t
 
 def pack(pieces: DataFrame, capacity: Capacity = Capacity(), select: str = "norm") -> DataFrame:
     """``pieces`` with sequence_id (unique, any numbers) and offset."""
-    table, _, seen = materialize(pieces, "pieces", [F.count(F.lit(1)).alias("n")])
+    table, _, seen = materialize(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces", [F.count(F.lit(1)).alias("n")])
     shards = max(1, math.ceil(seen["n"] / SHARD))
-    keyed = table.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(shards)))
+    keyed = table.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     cols = [c for c in pieces.columns]
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:

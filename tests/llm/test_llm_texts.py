@@ -219,3 +219,12 @@ def test_hidden_is_an_attribute_of_its_own():
     for attributes, boiler in [*((a, False) for a in shown), *((a, True) for a in hides)]:
         page = f"<html><body><div {attributes}><p>Some words of text.</p></div></body></html>"
         assert [b.boiler for b in html_text.blocks(page)] == [boiler], attributes
+
+
+def test_equal_pieces_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 100)
+    pieces = spark.range(2000).selectExpr("cast(null as bigint) doc_id", "0 piece", "0L start", "1L length", "7L ids_crc32")
+    rows = packing.pack(pieces).collect()
+    assert len(rows) == 2000 and len({(r.sequence_id, r.offset) for r in rows}) == 2000
+    shards = [r.sequence_id >> 32 for r in rows]
+    assert len(set(shards)) == 20 and max(map(shards.count, set(shards))) < 200

@@ -7,8 +7,8 @@ H(xy) = H(x) * B^|y| + H(y): in a task for ordinary documents, and across
 tasks for documents of more than ``HUGE_CHARS`` characters, whose chunks are
 dealt out and whose shifted chunk hashes are then summed per document.
 
-Documents with equal (fingerprint, byte length) are compared: texts of such
-groups only are shuffled, a group being dealt to one bucket per ``BUCKET``
+Documents with equal (fingerprint, byte length) are compared, repeated rows
+once: texts of such groups only are shuffled, a group being dealt to one bucket per ``BUCKET``
 members, and each bucket streams its members' chunks past those of the
 group's candidate (its largest doc_id).  Members that differ from it, that is
 collisions, go round again among themselves until none is left.
@@ -152,13 +152,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return small.select(*DOC, "h1", "h2").unionByName(whole.drop("x"))
 
 
-def _leaders(rows: DataFrame) -> DataFrame:
-    """Groups of several rows: size, and the row with the largest doc_id."""
-    g = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("doc_id", "sha")).alias("top"))
-    return g.where("size > 1").select(*GROUP, "size", F.col("top.doc_id").alias("leader"),
+def _leaders(rows: DataFrame, least: int = 2) -> DataFrame:
+    """Groups of at least ``least`` rows: number of distinct rows, and the one with the largest doc_id."""
+    each = rows.groupBy(*GROUP, "doc_id", "sha").agg(F.count(F.lit(1)).alias("copies"))
+    g = each.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("size"), F.sum("copies").alias("rows"),
+                                 F.max(F.struct("doc_id", "sha")).alias("top"))
+    return g.where(F.col("rows") >= least).select(*GROUP, "size", F.col("top.doc_id").alias("leader"),
                                       F.col("top.sha").alias("leader_sha"))
 
 
+def _once(texts: DataFrame) -> DataFrame:
+    """Members of groups without repeats; those of a task meet before the shuffle."""
+    keys = [c for c in texts.columns if c != "text"]
+    return texts.groupBy(*keys).agg(F.first("text").alias("text"))
+
+
 def _compare(texts: DataFrame) -> DataFrame:
     """``texts``: GROUP, size, leader, leader_sha, doc_id, sha, text -> GROUP,
     doc_id, sha, same: whether the text is the leader's, byte by byte.
@@ -202,7 +210,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     members = texts.join(groups, list(GROUP))
     classes = None
     while True:
-        table, _, seen = materialize(_compare(members), "compared", [
+        table, _, seen = materialize(_compare(_once(members)), "compared", [
             F.coalesce(F.sum((~F.col("same")).cast("bigint")), F.lit(0)).alias("left")])
         found = table.where("same").join(groups.select(*GROUP, "leader"), list(GROUP))
         found = found.select("doc_id", "sha", F.col("leader").alias("keep"))
@@ -211,7 +219,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
             break
         # collisions: texts that differ from their group's leader form groups of their own
         rest = table.where("not same").select("doc_id", "sha", *GROUP)
-        groups = small_side(_leaders(rest), "collided")
+        # (repeats were dropped, so one row may stand for several)
+        groups = small_side(_leaders(rest, 1), "collided")
         members = texts.join(rest.select("doc_id", "sha").distinct(), ["doc_id", "sha"], "left_semi").join(
             groups, list(GROUP))
     r, c = rows.alias("r"), classes.alias("c")

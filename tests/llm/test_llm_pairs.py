@@ -58,6 +58,25 @@ def test_exact_dedup_cases(spark, monkeypatch):
     assert {r.doc_id: r.keep_id for r in hit} == {0: 2, 1: 4, 2: 2, 3: 5, 4: 4, 5: 5}
 
 
+def test_exact_dedup_compares_repeated_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET", 4)
+    rows, compared = [(7, "same text")] * 60 + [(5, "same text"), (6, "SAME text"), (1, "x"), (2, "y"), (2, "y")], []
+    once = exact_dedup._cut
+    monkeypatch.setattr(exact_dedup, "_cut", lambda df, size: compared.append(df) or once(df, size))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = exact_dedup.exact_duplicates(df).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out) == sorted(
+        [(7, 7, 62, False)] * 59 + [(7, 7, 62, True), (5, 7, 62, False), (6, 7, 62, False), (1, 1, 1, True),
+                                    (2, 2, 2, False), (2, 2, 2, True)])
+    dealt = [d for d in compared if "bucket" in d.columns]
+    assert [d.where("leads").count() for d in dealt] == [2]  # one row for each of the two leaders
+    # rows that collide, and of which only repeats are equal
+    monkeypatch.setattr(exact_dedup, "_hashed", _colliding(exact_dedup._hashed))
+    hit = exact_dedup.exact_duplicates(spark.createDataFrame([(1, "aa"), (1, "aa"), (2, "bb")], df.schema)).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in hit) == [
+        (1, 1, 2, False), (1, 1, 2, True), (2, 2, 1, True)]
+
+
 def _colliding(f):
     return lambda *a, **k: f(*a, **k).withColumns({"h1": F.lit(1).cast("bigint"), "h2": F.lit(1).cast("bigint")})
 

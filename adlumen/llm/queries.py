@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlumen.llm import chat, decontamination, exact_dedup, html_text, language, packing, quality, simhash_dedup
-from adlumen.llm import token_counts, toxicity
+from adlumen.llm import suffix_dedup, token_counts, toxicity
 from adlumen.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), window=400)
+
+
 ORACLES: dict[str, str] = {
     "op4_chat_formatting": r"""
 with rows_ as (

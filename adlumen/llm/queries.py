@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlumen.llm import chat, decontamination, exact_dedup, html_text, language, packing, quality, simhash_dedup
-from adlumen.llm import suffix_dedup, token_counts, toxicity
+from adlumen.llm import prefix_trie, suffix_dedup, token_counts, toxicity, whitening
 from adlumen.llm.common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +86,23 @@ def op11_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), window=400)
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+#: crc32 of a decimal number's digits, bit by bit.
+CRC32 = """xor(4294967295::ubigint, list_reduce(
+    list_concat([4294967295::ubigint], list_transform(string_split({0}, ''), lambda ch: ascii(ch)::ubigint)),
+    lambda acc, x: list_reduce(list_concat([xor(acc, x)], [0::ubigint, 1, 2, 3, 4, 5, 6, 7]),
+      lambda v, k: xor(v >> 1, (v & 1) * 3988292384::ubigint))))"""
+
 ORACLES: dict[str, str] = {
     "op4_chat_formatting": r"""
 with rows_ as (
@@ -115,4 +133,37 @@ with n as (
 select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
   doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
 from n""",
+    "op12_prefix_trie": r"""
+with recursive rows_ as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null
+), ids as (
+  select distinct c, c - c % 20 as base, (""" + CRC32.format("cast(c as varchar)") + r""" % 4)::bigint as h from rows_
+), rebuilt as (
+  select i.c, 0 as own, r.pos, r.role, r.text from ids i join rows_ r on r.c = i.base and r.pos <= i.h
+  union all select i.c, 1, r.pos, r.role, r.text from ids i join rows_ r on r.c = i.c and r.pos > i.h
+), placed as (
+  select c, row_number() over w as depth, text,
+    string_agg(length(role) || ':' || role || length(text) || ':' || text, '') over w as prefix
+  from rebuilt window w as (partition by c order by own, pos)
+), steps as (
+  select c, depth, prefix, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words,
+    lag(prefix, 1, '') over (partition by c order by depth) as before,
+    depth = max(depth) over (partition by c) as ends from placed
+  union all select c, 0, '', 0, null, c not in (select c from placed) from ids
+), nodes as (
+  select depth, prefix, min(c) as conv, count(*) as n, max(words) as words, min(before) as before,
+    string_agg(c::varchar, ',' order by c) filter (where ends) as ended from steps group by depth, prefix
+), counted as (
+  select n.*, (select count(*) from nodes k where k.depth = n.depth + 1 and k.before = n.prefix) as kids from nodes n
+), sums as (
+  select s.depth, s.prefix, sum(case when k.kids = 0 then 1 else 0 end)::bigint as leaves,
+    sum((k.n - 1) * k.words)::bigint as saved
+  from counted k join steps s on s.c = k.conv and s.depth <= k.depth group by s.depth, s.prefix
+)
+select n.conv as conv_id, n.depth::bigint as depth, p.conv as parent_conv_id, n.n as n_convs, n.kids as n_children,
+  s.leaves as n_leaves, s.saved as saved_tokens, sha256(coalesce(n.ended, '')) as ends_sha256
+from counted n join sums s on s.depth = n.depth and s.prefix = n.prefix
+left join nodes p on p.depth = n.depth - 1 and p.prefix = n.before""",
 }

@@ -1,7 +1,6 @@
 """Exact dedup, SimHash near-dedup and decontamination against brute force."""
 
 import hashlib
-import importlib.util
 import os
 import random
 from collections import defaultdict
@@ -9,11 +8,9 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+import llm_rows as helpers
 from adlumen.llm import decontamination, exact_dedup, simhash_dedup
 
-spec = importlib.util.spec_from_file_location("llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
-helpers = importlib.util.module_from_spec(spec)
-spec.loader.exec_module(helpers)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

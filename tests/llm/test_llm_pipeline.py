@@ -1,14 +1,10 @@
 """The corpus pipeline, stage by stage, against brute force on a small table."""
 
-import importlib.util
-import os
+import llm_rows as helpers
 
 import corpus_pipeline as P
 from adlumen.llm import simhash_dedup
 
-spec = importlib.util.spec_from_file_location("llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
-helpers = importlib.util.module_from_spec(spec)
-spec.loader.exec_module(helpers)
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 

@@ -1,8 +1,6 @@
 """Token counts, chat formatting, language ID, HTML, packing and the two classifiers."""
 
 import hashlib
-import importlib.util
-import os
 import zlib
 
 import duckdb
@@ -11,14 +9,11 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import llm_rows as helpers
 import public_tokenizers
 from adlumen.llm import chat, html_text, language, packing, quality, token_counts, toxicity
 from adlumen.llm.common import remainder
 
-spec = importlib.util.spec_from_file_location("llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
-helpers = importlib.util.module_from_spec(spec)
-spec.loader.exec_module(helpers)
-
 TOKENIZER = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
 TEXTS = ["one two three", None, "", "  a\n\n b ", "x" * 3000, "word " * 9000, "<|endoftext|> it's", "äöü 漢字 🙂",
          "one two three"]

@@ -6,7 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from adlumen.schema import LOG_FIELDS  # noqa: E402
 from adlumen.session import local_session  # noqa: E402
 
 
@@ -15,14 +14,3 @@ def spark():
     s = local_session(cores="*", shuffle_partitions=8)
     yield s
 
-
-_DEFAULT = {"string": "", "int": 0, "double": 0.0}
-
-
-def log_rows(spark, rows):
-    """Log-shaped DataFrame: every field defaults to ''/0/0.0, overridden by dicts."""
-    full = []
-    for r in rows:
-        full.append(tuple(r.get(n, _DEFAULT[k]) for n, k in LOG_FIELDS))
-    from adlumen.schema import LOG_SCHEMA
-    return spark.createDataFrame(full, LOG_SCHEMA)

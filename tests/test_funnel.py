@@ -2,7 +2,7 @@ import pytest
 
 from adlumen.operators.funnel import funnel
 from adlumen.schema import FUNNEL_MEASURES
-from conftest import log_rows
+from log_rows import log_rows
 
 # mode, node, eff, bill, bid, win, order -> exclusive, cumulative
 # measure order: ys, yx, ad, cy, succ, cost, pay, shows, clicks (prices 2000 / 1000)

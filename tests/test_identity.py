@@ -1,6 +1,6 @@
 
 from adlumen.operators.identity import all_ids, first_id, has_any_id, id_edges
-from conftest import log_rows
+from log_rows import log_rows
 
 
 def test_first_and_all_ids(spark):

@@ -4,7 +4,7 @@ from adlumen.plans.catalog import QUERIES
 from adlumen.plans.reports import app_report, location_report
 from adlumen.sources.dictionary import parse_app_dictionary
 from adlumen.sources.logs import read_log
-from conftest import log_rows
+from log_rows import log_rows
 
 
 def _plan(df):

@@ -1,5 +1,5 @@
 from adlumen.plans.profiles import person_profiles
-from conftest import log_rows
+from log_rows import log_rows
 
 
 import pytest

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adlumen.operators.funnel import funnel
 from adlumen.operators.tags import merge_tags, row_tags
 from adlumen.plans.profiles import person_profiles
-from conftest import log_rows
+from log_rows import log_rows
 
 SETTINGS = settings(max_examples=6, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -5,7 +5,7 @@ from adlumen.operators.graph import connected_components
 from adlumen.plans.profiles import id_edge_list, person_profiles, user_tags
 from adlumen.plans.reports import app_report
 from adlumen.sources.dictionary import parse_app_dictionary
-from conftest import log_rows
+from log_rows import log_rows
 
 
 def _skewed_log(spark):

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from adlumen.operators import tags as TG
 from adlumen.plans.profiles import user_tags
-from conftest import log_rows
+from log_rows import log_rows
 
 
 def _tags(spark, rows, col):

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from adlumen.llm.common import small_side
 from adlumen.session import materialize
 
-CAPACITY = 4096         # rows of a container
+CAPACITY = 1024         # rows of a container
 CHUNK = 4096            # turns whose names one window runs through
 PIECE = 8192            # conversation ids in a piece of a digest
 WORD = r"[^\x20\x09-\x0D]+"

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from adlumen.functions.geohash import geohash, with_geohash
 from adlumen.functions.strings import is_blank
 from adlumen.functions.util import as_col
+from adlumen.operators.lookup import DEFAULT_BROADCAST_ROWS, lookup_join
 from adlumen.schema import BUSINESS_BBOX, JSONP_PREFIX
 
 RESPONSE_SCHEMA = T.StructType([
@@ -85,28 +86,32 @@ def build_business_lookup(points: DataFrame, responses: DataFrame, *, lng: str =
     return keyed.groupBy("geohash").agg(F.min("business").alias("business"))
 
 
+def _boxed_geohash(df: DataFrame, lng: str, lat: str, precision: int, out: str) -> DataFrame:
+    """``df`` with the geohash of in-box coordinates; elsewhere null, and nothing is computed."""
+    inside = df.withColumns({"__lng": F.when(in_bbox(lng, lat), F.col(lng)),
+                             "__lat": F.when(in_bbox(lng, lat), F.col(lat))})
+    return add_geohash(inside, "__lng", "__lat", out, precision).drop("__lng", "__lat")
+
+
 def with_business(df: DataFrame, lookup: DataFrame, *, lng: str = "long", lat: str = "lat",
-                  precision: int = 8, out: str = "__business") -> DataFrame:
+                  precision: int = 8, out: str = "__business",
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``out``: the business areas (``;``-joined) of an in-box row's geohash, else null."""
-    from adlumen.operators.lookup import lookup_side
-
-    side = lookup_side(lookup.select(F.col("geohash").alias("__lgh"), F.col("business").alias(out)))
-    keyed = add_geohash(df, lng, lat, "__gh", precision)
-    keyed = keyed.withColumn("__gh", F.when(in_bbox(lng, lat), F.col("__gh")))
-    return keyed.join(side, keyed["__gh"] == side["__lgh"], "left").drop("__gh", "__lgh")
+    side = lookup.select(F.col("geohash").alias("__lgh"), F.col("business").alias(out))
+    keyed = _boxed_geohash(df, lng, lat, precision, "__gh")
+    return lookup_join(keyed, side, "__gh", "__lgh", broadcast_rows=broadcast_rows).drop("__gh", "__lgh")
 
 
 def business_tag_words(df: DataFrame, lookup: DataFrame, *, lng: str = "long", lat: str = "lat",
-                       keep: tuple[str, ...] = (), precision: int = 8) -> DataFrame:
+                       keep: tuple[str, ...] = (), precision: int = 8,
+                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows in the box -> geohash -> lookup -> one row per ``;``-piece (``tag``).
 
     Empty pieces are dropped; repeated pieces stay (each adds weight).
     """
     pts = df.select(*keep, lng, lat).where(in_bbox(lng, lat))
     pts = add_geohash(pts, lng, lat, "__gh", precision).select(*keep, "__gh")
-    from adlumen.operators.lookup import lookup_side
-
-    lookup = lookup_side(lookup.select("geohash", "business"))
-    joined = pts.join(lookup, pts["__gh"] == lookup["geohash"])
+    joined = lookup_join(pts, lookup.select("geohash", "business"), "__gh", "geohash", "inner",
+                         broadcast_rows=broadcast_rows)
     words = joined.select(*keep, F.explode(F.split(F.col("business"), ";")).alias("tag"))
     return words.where(F.col("tag") != "")

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlumen.operators.lookup import lookup_join
 from adlumen.session import drop_materialized, materialize
 
 # Vertices with more incident edges than this are joined map-side (see
@@ -179,6 +180,41 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", *
     return out
 
 
+def update_components(labels: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst", *,
+                      hot_degree: int | None = None) -> DataFrame:
+    """Components of a graph that has grown: ``labels`` (id, component) of the old
+    graph and the new ``edges`` -> ``(id, component)`` of both together.
+
+    Contraction: each end of a new edge is replaced by its old label (an id not
+    seen before by itself), so old components become single vertices and only
+    those that new edges touch take part in the rounds.  A label is its
+    component's smallest id, hence the smallest label of a merged component is
+    its smallest id.  Old labels are then renamed by a lookup join, whose hot
+    keys (a component with a large share of all ids) are not shuffled.
+    """
+    spark = edges.sparkSession
+    edges, edges_path, _ = materialize(
+        edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
+            F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct(), "new-edges")
+    ids = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
+    old = labels.select(F.col("id").alias("__id"), F.col("component").alias("label"))
+    ends, ends_path, _ = materialize(
+        ids.join(old, ids["id"] == old["__id"], "left").select(
+            "id", F.coalesce("label", "id").alias("label"), F.col("label").isNotNull().alias("known")), "ends")
+    at = ends.select(F.col("id").alias("__end"), "label")
+    contracted = lookup_join(edges, at, "src", "__end", "inner").select("dst", F.col("label").alias("a"))
+    contracted = lookup_join(contracted, at, "dst", "__end", "inner").select("a", F.col("label").alias("b")).distinct()
+    merged = connected_components(contracted, "a", "b", hot_degree=hot_degree)
+    to = merged.select(F.col("id").alias("__from"), F.col("component").alias("to"))
+    renamed = lookup_join(labels.select("id", "component"), to, "component", "__from").select(
+        "id", F.coalesce("to", "component").alias("component"))
+    fresh = ends.where(~F.col("known")).select("id").join(merged, "id").select("id", "component")
+    out, _, _ = materialize(renamed.unionByName(fresh), "cc-labels")
+    for path in (edges_path, ends_path):
+        drop_materialized(spark, path)
+    return out
+
+
 def verify_components(edges: DataFrame, labels: DataFrame, src: str = "src",
                       dst: str = "dst") -> int:
     """Number of edges whose endpoints got different labels (0 when right)."""

@@ -2,10 +2,13 @@
 
 A lookup side is written once as a table in the checkpoint folder; its rows and
 bytes are observed during that write (partial sums in every task).  It is
-broadcast only if both are under a bound.  Beyond the bound it is joined with a
-shuffle join: with both inputs plain scans, AQE's skew-join handling can split
-a hot key of the big side (one app or place holding a third of all rows)
-across tasks; an aggregate feeding the join directly would prevent it.
+broadcast only if both are under a bound.  Beyond the bound ``lookup_join``
+splits the join by the big side's own keys: a frequent-items sketch (bounded,
+whatever the number of keys) names the keys that hold more rows than a task
+should get, and those rows stay where they are, joined with a broadcast of just
+their lookup rows; rows of null keys stay too; all others are shuffled, with no
+hot key left among them.  Should the hot keys' own values be too large to
+broadcast, their rows are dealt by a salt and the values repeated for each salt.
 """
 
 from __future__ import annotations
@@ -45,6 +48,54 @@ def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(table) if m["n"] <= max_rows and m["bytes"] <= max_bytes else table
 
 
+#: Items that the frequent-items sketch tracks, and the most hot keys taken from it.
+SKETCH_ITEMS, MOST_HOT = 65_536, 2_000
+
+
+def hot_keys(df: DataFrame, key: str) -> list[str]:
+    """Keys with more than a quarter of an even task's share of the rows.
+
+    One aggregate over ``df`` with a sketch in every task.  It misses no key above
+    2.7 / (0.75 * ``SKETCH_ITEMS``) of the rows, far below the share asked for; at
+    most ``MOST_HOT`` keys can have that share.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1 / (4 * tasks), 1 / MOST_HOT)
+    top = F.expr(f"approx_top_k({key}, {MOST_HOT}, {SKETCH_ITEMS})")
+    seen = df.select(F.col(key).cast("string").alias(key)).agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(t["item"] for t in seen["top"] or [] if t["item"] is not None and t["count"] > share * seen["n"])
+
+
+def lookup_join(df: DataFrame, side: DataFrame, key: str, side_key: str, how: str = "left", *,
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, salts: int | None = None) -> DataFrame:
+    """``df`` joined with ``side`` on ``key = side_key`` (strings; ``how``: left,
+    inner, left_semi or left_anti).  ``side`` is unique on its key, or ``how``
+    is semi or anti; null keys match nothing.  Beyond the broadcast bounds ``df``
+    is read for its sketch and then for each part.
+    """
+    table, _, m = materialize(side, "lookup", size_metrics(side))
+
+    def join(rows, lookup, more=None):
+        on = rows[key] == lookup[side_key]
+        return rows.join(lookup, on if more is None else on & more, how)
+
+    if m["n"] <= broadcast_rows and m["bytes"] <= broadcast_bytes:
+        return join(df, F.broadcast(table))
+    hot = hot_keys(df, key)
+    stays = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
+    cold = join(df.where(~stays), table)
+    few = table.where(F.col(side_key).isin(hot) if hot else F.lit(False))
+    here = df.where(stays)
+    if fits_broadcast(few, MOST_HOT, broadcast_bytes):
+        return cold.unionByName(join(here, F.broadcast(few)))
+    salts = salts or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = here.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    copies = few.withColumn("__to", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = join(dealt, copies, dealt["__salt"] == copies["__to"]).drop("__salt", "__to")
+    return cold.unionByName(salted)
+
+
 def fill_from_dictionary(df: DataFrame, dictionary: DataFrame, *, target: str = "appname",
                          key: str = "appid", dict_key: str = "key", dict_value: str = "value",
                          default: Column | str | None = None,
@@ -59,8 +110,7 @@ def fill_from_dictionary(df: DataFrame, dictionary: DataFrame, *, target: str =
     if isinstance(default, str):
         default = F.lit(default)
     lk = dictionary.select(F.col(dict_key).alias("__k"), F.col(dict_value).alias("__v"))
-    lk = lookup_side(lk, broadcast_rows)
-    joined = df.join(lk, df[key] == lk["__k"], "left")
+    joined = lookup_join(df, lk, key, "__k", broadcast_rows=broadcast_rows)
     found = F.col("__v") if default is None else F.coalesce(F.col("__v"), default)
     filled = F.when(is_blank(F.col(target)), found).otherwise(F.col(target))
     cols = [filled.alias(target) if c == target else F.col(c) for c in df.columns]
@@ -72,5 +122,4 @@ def drop_stopwords(words: DataFrame, stopwords: DataFrame, *, word: str = "word"
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``words`` whose ``word`` is not in the stop list (left-anti join)."""
     stop = stopwords.select(F.col(stop_col).alias("__w")).distinct()
-    stop = lookup_side(stop, broadcast_rows)
-    return words.join(stop, words[word] == stop["__w"], "left_anti")
+    return lookup_join(words, stop, word, "__w", "left_anti", broadcast_rows=broadcast_rows)

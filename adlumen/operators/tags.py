@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlumen.functions.strings import not_blank
-from adlumen.operators.lookup import DEFAULT_BROADCAST_ROWS, drop_stopwords, lookup_side
+from adlumen.operators.lookup import DEFAULT_BROADCAST_ROWS, drop_stopwords, lookup_join
 from adlumen.schema import (
     CARRIER_CODES, CARRIER_OTHER, KEYWORD_MAX_LEN, KEYWORD_MIN_LEN, NETWORK_CODES,
     NETWORK_OTHER, OS_CODES, OS_OTHER, TAG_AD_SLOT, TAG_AD_SLOT_NAME, TAG_APP, TAG_CHANNEL,
@@ -126,13 +126,7 @@ def with_app_lookup(df: DataFrame, dictionary: DataFrame | None, *, appid: str =
     if dictionary is None:
         return df.withColumn(out, F.lit(None).cast("string"))
     lk = dictionary.select(F.col("key").alias("__k"), F.col("value").alias(out))
-    lk = lookup_side(lk, broadcast_rows)
-    return df.join(lk, df[appid] == lk["__k"], "left").drop("__k")
-
-
-def row_tags(dict_name: str | None = DICT_APP) -> Column:
-    """All expression-only tags of a row: ad, location, device and app."""
-    return F.concat(ad_tags(), location_tags(), device_tags(), app_tags(dict_name=dict_name))
+    return lookup_join(df, lk, appid, "__k", broadcast_rows=broadcast_rows).drop("__k")
 
 
 def tags_long(df: DataFrame, keys: Sequence[str], *, dictionary: DataFrame | None = None,

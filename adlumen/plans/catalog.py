@@ -21,10 +21,12 @@ from adlumen.plans import jobs
 from adlumen.plans import profiles as P
 from adlumen.plans import reports
 from adlumen.session import materialize, scratch_path
-from adlumen.sinks.writers import format_report_lines, format_tag_lines, write_log
+from adlumen.operators.resolve import CapturedResolver
+from adlumen.sinks import keyed
+from adlumen.sinks.writers import format_report_lines, format_tag_lines, write_log, write_profiles
 from adlumen.sources import bindings as B
-from adlumen.sources.dictionary import parse_app_dictionary
-from adlumen.sources.logs import parse_log, read_log, read_profiles
+from adlumen.sources.dictionary import parse_app_dictionary, read_app_dictionary
+from adlumen.sources.logs import parse_log, read_log, read_profiles, read_rejects
 
 # Money is compared exactly across engines: prices are 2-decimal values, so
 # sum them as exact cents (order-independent) and divide once at the end.
@@ -356,3 +358,119 @@ def job_user_tags(spark, sf_dir):
         _text(spark, B.app_dictionary_lines(spark, sf_dir), "dictionary-text"),
         _text(spark, B.binding(spark, sf_dir, "stopword_lines"), "stopwords"), path, day="2024-05-01")
     return read_profiles(spark, path)
+
+
+@query
+def job_etl_rejects(spark, sf_dir):
+    """The rejected lines of the same write as the typed rows, by province and city."""
+    raw = _text(spark, B.raw_log_lines(spark, sf_dir), "raw")
+    path = scratch_path(spark, "etl")
+    jobs.etl_job(spark, raw, path, partition_by=["provincename", "cityname"])
+    return read_rejects(spark, path).select(F.substring_index("line", ",", 1).alias("sessionid"), "n_fields")
+
+
+# --- keyed lookups: last line wins, upserts, point reads ----------------------------------
+
+@query
+def app_dictionary_last_wins(spark, sf_dir):
+    """Repeated keys over several files: the last line of the last file stays."""
+    path = scratch_path(spark, "dictionary-files")
+    lines = B.binding(spark, sf_dir, "repeated_dictionary_lines")
+    lines.repartition(3, "file").sortWithinPartitions("file", "pos").select("file", "value").write.partitionBy(
+        "file").text(path)
+    return read_app_dictionary(spark, path, duplicates="last")
+
+
+def _keyed_table(spark, sf_dir):
+    """Three batches of upserts, compacted between the second and the third."""
+    path = scratch_path(spark, "keyed")
+    batches = B.binding(spark, sf_dir, "keyed_batches")
+    for batch in (1, 2, 3):
+        keyed.put(batches.where(F.col("batch") == batch), path, batch, buckets=16)
+        if batch == 2:
+            keyed.compact(spark, path)
+    return path
+
+
+@query
+def keyed_upsert(spark, sf_dir):
+    return keyed.read(spark, _keyed_table(spark, sf_dir))
+
+
+@query
+def keyed_points(spark, sf_dir):
+    """Values of the keys that a table names, read from their buckets alone."""
+    keys = B.read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("key"))
+    return keyed.read(spark, _keyed_table(spark, sf_dir), keys=keys)
+
+
+@query
+def resolve_new_places(spark, sf_dir):
+    """A stored lookup of some places, and a resolver asked for all others."""
+    path = scratch_path(spark, "places")
+    points, responses = B.geo_points(spark, sf_dir), B.binding(spark, sf_dir, "place_responses")
+    stored = GEO.build_business_lookup(B.binding(spark, sf_dir, "old_places"), responses)
+    keyed.put(stored, path, 1, key="geohash", value="business", buckets=16)
+    asked = points.select("long", "lat").distinct().join(responses, ["long", "lat"], "left")
+    jobs.resolve_business_job(spark, asked, path, scratch_path(spark, "failed"), batch=2,
+                              make_resolver=CapturedResolver, in_flight=4)
+    return keyed.read(spark, path, key="geohash", value="business")
+
+
+# --- lookup joins beyond the broadcast bound, a third of the rows on one key --------------
+
+def _hot_log(spark, sf_dir):
+    return materialize(B.binding(spark, sf_dir, "hot_log"), "hot-log")[0]
+
+
+@query
+def lookup_hot_app(spark, sf_dir):
+    log = TG.with_app_lookup(_hot_log(spark, sf_dir), _dictionary(spark, sf_dir), broadcast_rows=0)
+    tags = log.select(F.explode(TG.app_tags(dict_name=TG.DICT_APP)).alias("tag"))
+    return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("weight"))
+
+
+@query
+def lookup_hot_word(spark, sf_dir):
+    words = _hot_log(spark, sf_dir).select(F.explode(TG.keyword_candidates()).alias("word"))
+    kept = drop_stopwords(words.where(TG.keyword_ok(F.col("word"))), B.stopwords(spark), word="word", broadcast_rows=0)
+    return kept.groupBy("word").agg(F.count(F.lit(1)).alias("weight"))
+
+
+@query
+def lookup_hot_place(spark, sf_dir):
+    words = GEO.business_tag_words(_hot_log(spark, sf_dir), business_lookup(spark, sf_dir), broadcast_rows=0)
+    return words.groupBy("tag").agg(F.count(F.lit(1)).alias("weight"))
+
+
+# --- profiles over days, the next day's components ------------------------------------------
+
+def _profile_table(spark, sf_dir):
+    path = scratch_path(spark, "profile-days")
+    log = B.binding(spark, sf_dir, "dated_log")
+    for day in ("2024-05-01", "2024-05-02", "2024-05-03"):
+        of_day = P.user_tags(log.where(F.col("day") == day), dictionary=_dictionary(spark, sf_dir),
+                             stopwords=B.stopwords(spark))
+        write_profiles(of_day, path, day=day)
+    return path
+
+
+@query
+def profile_days_map(spark, sf_dir):
+    """The wide row of every user: a map from day to that day's tags."""
+    days = P.profile_days(read_profiles(spark, _profile_table(spark, sf_dir)))
+    return days.select("user_id", F.size("days").alias("n_days"), F.explode("days").alias("day", "tags"))
+
+
+@query
+def profile_days_merged(spark, sf_dir):
+    """Weights summed over the last two of three days."""
+    return P.merge_days(read_profiles(spark, _profile_table(spark, sf_dir), first="2024-05-02", last="2024-05-03"))
+
+
+@query
+def components_next_day(spark, sf_dir):
+    """Components of one half of the edges, then the other half added to them."""
+    edges = materialize(id_edges(spark, sf_dir), "edges")[0]
+    early = F.pmod(F.xxhash64("src", "dst"), F.lit(2)) == 0
+    return G.update_components(G.connected_components(edges.where(early)), edges.where(~early))

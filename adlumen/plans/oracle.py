@@ -388,3 +388,68 @@ _STOP = f"(select value from {_b('stopword_lines')} s)"
 ORACLES["job_user_tags"] = (
     "select *, '2024-05-01' as day from (" + _counted(_tag_rows(_USERS, "user_id", stop=_STOP), "user_id") + ") p"
 )
+ORACLES["job_etl_rejects"] = ORACLES["etl_rejects"]
+
+# --- keyed lookups ---------------------------------------------------------------------------
+
+ORACLES["app_dictionary_last_wins"] = (
+    "select string_split(value, chr(9))[5] as key, arg_max(string_split(value, chr(9))[2], (file, pos)) as value "
+    f"from {_b('repeated_dictionary_lines')} d group by 1"
+)
+ORACLES["keyed_upsert"] = (
+    "select key, value from (select *, row_number() over (partition by key order by batch desc) as r "
+    f"from {_b('keyed_batches')} b) k where r = 1"
+)
+ORACLES["keyed_points"] = (
+    f"select * from ({ORACLES['keyed_upsert']}) u where key in (select cast(s_suppkey as varchar) from supplier)"
+)
+
+
+def _lookup_of(points: str) -> str:
+    """geohash -> smallest business of the responses captured for ``points``."""
+    parsed = ORACLES["parse_responses"].replace(_b("geo_responses"), _b("place_responses"))
+    return (
+        f"select geohash, min(business) as business from (select {geohash_sql('p.long', 'p.lat')} as geohash, "
+        f"r.business from (select distinct long, lat from {points} g where {in_bbox_sql(BUSINESS_BBOX)}) p "
+        f"join ({parsed}) r on p.long = r.long and p.lat = r.lat where {not_blank('r.business')}) k group by geohash"
+    )
+
+
+# a place not stored before is asked for at its geohash's smallest coordinates
+_ASKED = (
+    f"(select min({{'long': long, 'lat': lat}}) as place from {_GEO} g where {in_bbox_sql(BUSINESS_BBOX)} "
+    f"group by {geohash_sql('long', 'lat')})"
+)
+ORACLES["resolve_new_places"] = (
+    f"with stored as ({_lookup_of(_b('old_places'))}), asked as (select place.long as long, place.lat as lat from {_ASKED} a) "
+    f"select * from stored union all select n.* from ({_lookup_of('asked')}) n "
+    "where geohash not in (select geohash from stored)"
+)
+
+# --- hot keys ----------------------------------------------------------------------------------
+
+_HOT = _b("hot_log")
+ORACLES["lookup_hot_app"] = (
+    f"select tag, count(*) as weight from ({_tag_rows(_HOT, 'sessionid', (APP_TAGS,), False)}) x group by tag")
+ORACLES["lookup_hot_word"] = (
+    f"select substr(tag, 2) as word, count(*) as weight from ({_tag_rows(_HOT, 'sessionid', (), True)}) x group by tag")
+ORACLES["lookup_hot_place"] = (
+    f"select tag, count(*) as weight from (select unnest(string_split(k.business, ';')) as tag from (select "
+    f"{geohash_sql('long', 'lat')} as geohash from {_HOT} l where {in_bbox_sql(BUSINESS_BBOX)}) a "
+    f"join ({ORACLES['business_lookup']}) k on a.geohash = k.geohash) t where tag <> '' group by tag"
+)
+
+# --- days ----------------------------------------------------------------------------------------
+
+_DATED = f"(select *, {FIRST_ID} as user_id from {_b('dated_log')} l where {HAS_ANY_ID})"
+_DATED = _counted(_tag_rows(f"(select * from {_DATED} u where user_id is not null)", "user_id, day"), "user_id, day")
+ORACLES["profile_days_map"] = (
+    "select user_id, cast(count(*) over (partition by user_id) as int) as n_days, day, tags from (select user_id, day, "
+    f"string_agg(tag || ':' || cast(weight as varchar), ',' order by tag) as tags from ({_DATED}) d "
+    "group by user_id, day) x"
+)
+ORACLES["profile_days_merged"] = (
+    f"select user_id, tag, cast(sum(weight) as bigint) as weight from ({_DATED}) d "
+    "where day between '2024-05-02' and '2024-05-03' group by user_id, tag"
+)
+ORACLES["components_next_day"] = ORACLES["connected_components"]

@@ -84,3 +84,23 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
                           .agg(F.sum("w").alias("weight")))
     ids = labels.select("component", F.col("id").alias("entry"), F.lit(0).cast("bigint").alias("weight"))
     return tagged.select("component", F.col("tag").alias("entry"), "weight").unionByName(ids)
+
+
+def profile_days(profiles: DataFrame, user: str = "user_id", tag: str = "tag") -> DataFrame:
+    """Day-partitioned profiles ``(user, tag, weight, day)`` -> ``(user, days)``: the wide
+    row of a user, a map from day to that day's tags as ``tag:n,tag:n`` (by tag).
+
+    A day's tags become one text per user in a first aggregate; the map then
+    holds one entry per day.
+    """
+    item = F.concat(F.col(tag), F.lit(":"), F.col("weight").cast("string"))
+    daily = profiles.groupBy(user, "day").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(tag).alias("t"), item.alias("i")))),
+                                 lambda x: x["i"]), ",").alias("tags"))
+    return daily.groupBy(user).agg(F.map_from_entries(
+        F.array_sort(F.collect_list(F.struct("day", "tags")))).alias("days"))
+
+
+def merge_days(profiles: DataFrame, user: str = "user_id", tag: str = "tag") -> DataFrame:
+    """``(user, tag, weight, day)`` -> ``(user, tag, weight)`` over all its days."""
+    return profiles.groupBy(user, tag).agg(F.sum("weight").alias("weight"))

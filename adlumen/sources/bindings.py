@@ -197,6 +197,48 @@ _HUB_CHAIN_TEXT = (
 # Stop words: the first word of every part name.
 _STOPWORD_TEXT = "select distinct split_part(p_name, ' ', 1) as value from {part}"
 
+# Dictionary lines of four parts to a key, in three files by place.
+_REPEATED_DICTIONARY_TEXT = (
+    "select cast(p_partkey % 3 as int) as file, p_partkey as pos,\n"
+    "  concat_ws(chr(9), cast(p_size as string), p_name, p_brand, p_type,\n"
+    "    concat('com.', cast(p_partkey - p_partkey % 4 as string))) as value\n"
+    "from {part}"
+)
+
+# The log with a third of its rows on one app, one keyword list and one place.
+_HOT_LOG_TEXT = (
+    "select sessionid,\n"
+    "  case when k % 3 = 0 then '8' else appid end as appid,\n"
+    "  case when k % 3 = 0 then '' else appname end as appname,\n"
+    "  case when k % 3 = 0 then 'hotword|cold|cold' else keywords end as keywords,\n"
+    "  case when k % 3 = 0 then '100.03' else long end as long,\n"
+    "  case when k % 3 = 0 then '40.57' else lat end as lat\n"
+    "from (select *, cast(split_part(sessionid, '-', 1) as bigint) as k from {ad_log}) t"
+)
+
+# The log with a day for every row, three days in all.
+_DATED_LOG_TEXT = (
+    "select *, concat('2024-05-0', cast(1 + cast(split_part(sessionid, '-', 1) as bigint) % 3 as string)) as day\n"
+    "from {ad_log}"
+)
+
+# Three batches of keyed values: all parts, small ones anew, some more and others besides.
+_KEYED_BATCHES_TEXT = (
+    "select 1 as batch, cast(p_partkey as string) as key, p_name as value from {part}\n"
+    "union all select 2, cast(p_partkey as string), p_brand from {part} where p_size < 20\n"
+    "union all select 3, case when p_size < 5 then concat('n', cast(p_partkey as string))\n"
+    "  else cast(p_partkey as string) end, p_type from {part} where p_size < 10"
+)
+
+# One response per place.
+_PLACE_RESPONSES_TEXT = (
+    "select long, lat, min(response) as response from {geo_responses} group by long, lat"
+)
+# Places of the customers of some nations: those a lookup was built for before.
+_OLD_PLACES_TEXT = (
+    "select p.long, p.lat from {geo_points} p join {customer} c on p.c_custkey = c.c_custkey where c.c_nationkey < 12"
+)
+
 
 BINDINGS = {
     "ad_log": (_ad_log_text(), ["lineitem", "orders", "customer", "nation", "region", "part"]),
@@ -207,6 +249,12 @@ BINDINGS = {
     "id_log": (_id_log_text(), ["orders"]),
     "hub_chain_edges": (_HUB_CHAIN_TEXT, ["orders"]),
     "stopword_lines": (_STOPWORD_TEXT, ["part"]),
+    "repeated_dictionary_lines": (_REPEATED_DICTIONARY_TEXT, ["part"]),
+    "hot_log": (_HOT_LOG_TEXT, ["ad_log"]),
+    "dated_log": (_DATED_LOG_TEXT, ["ad_log"]),
+    "keyed_batches": (_KEYED_BATCHES_TEXT, ["part"]),
+    "place_responses": (_PLACE_RESPONSES_TEXT, ["geo_responses"]),
+    "old_places": (_OLD_PLACES_TEXT, ["geo_points", "customer"]),
 }
 
 

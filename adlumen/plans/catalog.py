@@ -474,3 +474,10 @@ def components_next_day(spark, sf_dir):
     edges = materialize(id_edges(spark, sf_dir), "edges")[0]
     early = F.pmod(F.xxhash64("src", "dst"), F.lit(2)) == 0
     return G.update_components(G.connected_components(edges.where(early)), edges.where(~early))
+
+
+@query
+def person_profiles_bucketed(spark, sf_dir):
+    """Person profiles from a log bucketed by head id."""
+    return P.person_profiles_colocated(B.ad_log(spark, sf_dir), dictionary=_dictionary(spark, sf_dir),
+                                       stopwords=B.stopwords(spark))

@@ -453,3 +453,4 @@ ORACLES["profile_days_merged"] = (
     "where day between '2024-05-02' and '2024-05-03' group by user_id, tag"
 )
 ORACLES["components_next_day"] = ORACLES["connected_components"]
+ORACLES["person_profiles_bucketed"] = ORACLES["person_profiles"]

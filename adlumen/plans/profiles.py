@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from adlumen.operators.graph import connected_components
 from adlumen.operators.identity import all_ids, first_id, has_any_id, head_id, id_edges
-from adlumen.operators.lookup import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from adlumen.operators.lookup import DEFAULT_BROADCAST_ROWS, fits_broadcast, hot_keys
 from adlumen.operators.tags import merge_tags, tags_long
+from adlumen.session import materialize, write_bucketed
 
 ROW_KEY = "sessionid"
 
@@ -86,6 +87,56 @@ def person_profiles(log: DataFrame, *, dictionary: DataFrame | None = None,
     return tagged.select("component", F.col("tag").alias("entry"), "weight").unionByName(ids)
 
 
+#: Columns that tag generators, keywords and business areas read.
+TAG_SOURCES = ("adspacetype", "adspacetypename", "adplatformproviderid", "provincename", "cityname", "client",
+               "networkmannername", "ispname", "appname", "appid", "keywords", "long", "lat")
+
+
+def write_head_buckets(log: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The log's usable rows (head id, ids, tag sources), written once for a day's jobs.
+
+    Returns the rows as a table bucketed and sorted by ``head``, those of hot
+    heads (``operators.lookup.hot_keys``) as a table of their own, which no
+    bucket could hold, and the hot heads.
+    """
+    rows = id_rows(log).select("head", all_ids().alias("ids"), *TAG_SOURCES)
+    hot = hot_keys(rows, "head")
+    apart = F.col("head").isin(hot) if hot else F.lit(False)
+    few = materialize(rows.where(apart), "hot-heads")[0]
+    return write_bucketed(rows.where(~apart), "head", buckets, "heads"), few, hot
+
+
+def person_profiles_colocated(log: DataFrame, *, dictionary: DataFrame | None = None,
+                              stopwords: DataFrame | None = None,
+                              business_lookup: DataFrame | None = None,
+                              buckets: int | None = None) -> DataFrame:
+    """``person_profiles`` for id tables beyond a broadcast: the log is read once and
+    shuffled once, as rows bucketed by head id; the labels are bucketed alike, so
+    tags are summed per head and meet their component without another shuffle.
+
+    Rows of hot heads are labelled where they are: at most
+    ``operators.lookup.MOST_HOT`` heads, whose labels are broadcast.
+    """
+    buckets = buckets or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, few, hot = write_head_buckets(log, buckets)
+    ids = rows.select("ids").unionByName(few.select("ids")).distinct()
+    labels = connected_components(id_edges(ids))
+    beside = write_bucketed(labels.select(F.col("id").alias("head"), "component"), "head", buckets, "labels")
+
+    def weighed(part, labelled):
+        long = tags_long(part, ["head"], dictionary=dictionary, stopwords=stopwords, business_lookup=business_lookup)
+        per_head = long.groupBy("head", "tag").agg(F.count(F.lit(1)).alias("w"))
+        return per_head.join(labelled, "head").select("component", F.col("tag").alias("entry"), "w")
+
+    tagged = weighed(rows, beside)
+    if hot:
+        names = beside.where(F.col("head").isin(hot))
+        tagged = tagged.unionByName(weighed(few, F.broadcast(names)))
+    tagged = tagged.groupBy("component", "entry").agg(F.sum("w").alias("weight"))
+    zero = labels.select("component", F.col("id").alias("entry"), F.lit(0).cast("bigint").alias("weight"))
+    return tagged.unionByName(zero)
+
+
 def profile_days(profiles: DataFrame, user: str = "user_id", tag: str = "tag") -> DataFrame:
     """Day-partitioned profiles ``(user, tag, weight, day)`` -> ``(user, days)``: the wide
     row of a user, a map from day to that day's tags as ``tag:n,tag:n`` (by tag).

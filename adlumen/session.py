@@ -46,6 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if configured:
+        if not sc.master.startswith("local") and "://" not in configured and not configured.startswith("file:") \
+                and sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir {configured} names a local folder of each machine; give its "
+                               "scheme (hdfs://, s3a://, or file:// for a folder that all machines mount)")
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
     if sc.master.startswith("local"):
@@ -85,6 +89,21 @@ def materialize(df, name: str, metrics=None):
     return spark.read.parquet(path), path, (obs.get if obs else {})
 
 
+def write_bucketed(df, key: str, buckets: int, name: str):
+    """Write ``df`` under the checkpoint folder as a table bucketed and sorted by
+    ``key`` (one file a bucket), and read it back.
+
+    Joins and aggregates on ``key`` of tables with equally many buckets need no
+    shuffle.  The table's name is in the session's catalog only.
+    """
+    import uuid
+
+    table = f"adlumen_{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+       .option("path", scratch_path(df.sparkSession, name)).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def drop_materialized(spark, path: str) -> None:
     """Delete a table written by ``materialize`` (Hadoop FileSystem API).
 

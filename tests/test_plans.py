@@ -1,5 +1,6 @@
 """Plan checks: pruning, pushdown, broadcast of checked-small sides, no Python UDFs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from adlumen.operators import graph
@@ -7,8 +8,9 @@ from adlumen.operators.geo import add_geohash
 from adlumen.operators.lookup import hot_keys, lookup_join
 from adlumen.operators.tags import tags_long
 from adlumen.plans.catalog import QUERIES
-from adlumen.plans.profiles import user_tags
+from adlumen.plans.profiles import person_profiles, person_profiles_colocated, user_tags
 from adlumen.plans.reports import app_report, location_report
+from adlumen.session import checkpoint_dir
 from adlumen.sources.dictionary import parse_app_dictionary
 from adlumen.sources.logs import read_log
 from log_rows import log_rows
@@ -116,3 +118,40 @@ def test_a_component_round_shuffles_for_two_joins_at_most(spark):
             assert _plan(step(edges, None)).count("SortMergeJoin") <= 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_colocated_profiles_shuffle_neither_rows_nor_labels(spark):
+    rows = [dict(sessionid=str(i), imei="HOT" if i % 3 == 0 else f"i{i}", mac=f"m{i % 17}", keywords="alpha|beta",
+                 provincename=f"P{i % 4}") for i in range(120)]
+    log = log_rows(spark, rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = person_profiles_colocated(log, buckets=4)
+        lines = _plan(out).splitlines()
+        assert sorted(map(str, out.collect())) == sorted(map(str, person_profiles(log).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = next(i for i, x in enumerate(lines) if "SortMergeJoin [head" in x)
+    scans = [i for i, x in enumerate(lines) if "FileScan parquet" in x and "Bucketed: true" in x and i > join][:2]
+    assert len(scans) == 2 and not any("Exchange" in x for x in lines[join:scans[1]])
+    assert any("BroadcastHashJoin [head" in x for x in lines)       # the hot head's rows
+
+
+def test_a_cluster_refuses_a_local_checkpoint_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    hadoop = SimpleNamespace(get=lambda key, default: "file:///")
+
+    def session(folder):
+        sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", setCheckpointDir=lambda d: None,
+                             _jsc=SimpleNamespace(hadoopConfiguration=lambda: hadoop),
+                             getConf=lambda: SimpleNamespace(get=lambda k, d=None: None))
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: folder))
+
+    with pytest.raises(RuntimeError, match="local folder"):
+        checkpoint_dir(session("/tmp/ckpt"))
+    assert checkpoint_dir(session("hdfs://nn/ckpt")) == "hdfs://nn/ckpt"
+    assert checkpoint_dir(session("file:///mnt/shared")) == "file:///mnt/shared"
+    with pytest.raises(RuntimeError, match="not set"):
+        checkpoint_dir(session(None))

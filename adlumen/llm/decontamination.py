@@ -56,8 +56,11 @@ LEAST = 6
 SHINGLE = 3                   # words in a row that make a candidate by themselves
 BLOCK = 2048
 SEED = 5
+PAIRS = 1 << 14               # windows and passages that are bounded at once
 RUN = 32                      # rows of a key that are added place by place
 _WORD = re.compile(r"\w+")
+#: Latin-1 bytes with all but word characters blanked.
+_LATIN = bytes(c if chr(c).isalnum() or chr(c) == "_" else 32 for c in range(256))
 # Thai, Lao, Myanmar, Khmer, kana, Han (extensions as well): no spaces between words
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
@@ -70,11 +73,12 @@ def split_words(text: str | None) -> list[str]:
         return []
     text = text.lower()
     try:
-        text.encode("latin-1")  # much faster than the search
+        raw = text.encode("latin-1")
     except UnicodeEncodeError:
         if _ANY_UNSPACED.search(text):
             return _WORD_OR_CHARACTER.findall(text)
-    return _WORD.findall(text)
+        return _WORD.findall(text)
+    return raw.translate(_LATIN).decode("latin-1").split()  # the same words, much faster
 
 
 @dataclass
@@ -263,6 +267,22 @@ def common_subsequence(masks: dict[int, int], length: int, words) -> int:
     return length - v.bit_count()
 
 
+class Step:
+    """Term numbers of several texts end to end, a gap (-1) after each."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.texts = texts
+        gap = np.array([-1], dtype=np.int32)
+        self.ids = np.concatenate([x for t in texts for x in (t, gap)])
+        self.length = np.array([len(t) for t in texts], dtype=np.int64)
+        self.begin = np.cumsum(self.length + 1) - self.length - 1
+
+    def near(self, text: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words around windows begin and end: a stride before, the window, a stride after."""
+        return (self.begin[text] + np.maximum(window - 1, 0) * STRIDE,
+                self.begin[text] + np.minimum((window + 4) * STRIDE, self.length[text]))
+
+
 class Shingles:
     """All runs of ``SHINGLE`` words of a block's passages, by exact keys."""
 
@@ -282,8 +302,9 @@ class Shingles:
             key = key * self.base + x[k: len(x) - SHINGLE + 1 + k]
         return key
 
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct windows and passages of a text: where a passage would begin if its shingle stands there."""
+    def hits(self, step: Step) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, window, passage): where a passage would begin if its shingle stands in a text."""
+        ids = step.ids
         at = np.flatnonzero(ids >= 0)
         at = at[: max(0, len(at) - SHINGLE + 1)][at[SHINGLE - 1:] - at[: max(0, len(at) - SHINGLE + 1)] == SHINGLE - 1]
         key = np.zeros(len(at), dtype=np.int64)
@@ -294,9 +315,10 @@ class Shingles:
         at, place = at[hit], place[hit]
         times = self.places[place]
         row = np.repeat(self.first[place] + times - np.cumsum(times), times) + np.arange(times.sum())
-        window = np.maximum(np.repeat(at, times) - self.offset[row], 0) // STRIDE
-        pair = np.unique(window * len(self.passage) + self.passage[row])
-        return pair // len(self.passage), pair % len(self.passage)
+        at = np.repeat(at, times)
+        text = np.searchsorted(step.begin, at, side="right") - 1
+        window = np.maximum(at - step.begin[text] - self.offset[row], 0) // STRIDE
+        return text, window, self.passage[row]
 
 
 MATCH = ("doc_id bigint, item_id bigint, cosine double, common_words int, passage_words int, "
@@ -316,27 +338,30 @@ def _search(index: Index):
     shingles = Shingles(block)
     enough = CONTAINED * index.norms[None, :]
 
-    # how often each term stands in each passage: bounds a common subsequence from above
-    held = np.zeros((len(block.terms), len(block.passages)), dtype=np.float32)
+    # how often each term stands in each passage: bounds a common subsequence from
+    # above; the last row is for words that no passage has
+    n_terms = len(block.terms)
+    held = np.zeros((n_terms + 1, len(block.passages)), dtype=np.float32)
     for k, p in enumerate(block.passages):
         np.add.at(held[:, k], p, 1)
     lengths = np.array([len(p) for p in block.passages])
     least = PARAPHRASE * lengths
 
-    def check(ids: np.ndarray, window: int, near_passages: np.ndarray):
-        """(passage, common, share, answer share) of the passages that the words around a window hold."""
-        near = ids[max(0, (window - 1) * STRIDE): (window + 4) * STRIDE]
-        near = near[near >= 0]
-        bound = held[np.unique(near)[:, None], near_passages].sum(axis=0)
-        words = None
-        for p in near_passages[bound >= least[near_passages]].tolist():
-            words = near.tolist() if words is None else words
-            common = common_subsequence(masks[p], int(lengths[p]), words)
-            answer = index.answers[p]
-            yield p, common, common / int(lengths[p]), len(answer.intersection(words)) / len(answer)
-
-    def candidates(ids: list[np.ndarray]):
-        """(text, window, passages) of all windows near a passage."""
+    def possible(at: Step, text, window, p) -> np.ndarray:
+        """Whether the distinct words around a window could hold enough of the passage."""
+        out = np.zeros(len(p), dtype=bool)
+        for a in range(0, len(p), PAIRS):
+            some = slice(a, a + PAIRS)
+            begin, end = at.near(text[some], window[some])
+            place = begin[:, None] + np.arange(5 * STRIDE)
+            words = at.ids[np.minimum(place, len(at.ids) - 1)]
+            words = np.sort(np.where((place < end[:, None]) & (words >= 0), words, n_terms), axis=1)
+            words[:, 1:][words[:, 1:] == words[:, :-1]] = n_terms
+            out[some] = held[words, p[some, None]].sum(axis=1) >= least[p[some]]
+        return out
+
+    def candidates(ids: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text, window, passage) of all windows near a passage."""
         span, term, first, count = _occurrences(ids, STRIDE, 2)
         if not len(term):
             return
@@ -352,22 +377,16 @@ def _search(index: Index):
             full = np.flatnonzero(norm > 1e-6)
             product = windows[full] @ passages
             at, p = np.nonzero(product >= np.maximum(COSINE * norm[full][:, None], enough))
-            if not len(at):
-                continue
-            cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            for lo, hi in zip(cuts, [*cuts[1:], len(at)], strict=True):
-                place = int(full[at[lo]]) + a
-                text = int(np.searchsorted(first, place, side="right")) - 1
-                yield text, place - int(first[text]), p[lo:hi]
-
-    def copies(ids: list[np.ndarray]):
-        """(text, window, passages) of all places that share a shingle with a passage."""
-        for text, x in enumerate(ids):
-            window, p = shingles.hits(x)
-            if len(p):
-                cuts = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-                for lo, hi in zip(cuts, [*cuts[1:], len(p)], strict=True):
-                    yield text, int(window[lo]), p[lo:hi]
+            place = full[at] + a
+            text = np.searchsorted(first, place, side="right") - 1
+            yield text, place - first[text], p
+
+    def pairs(at: Step) -> Iterator[tuple[int, int, int]]:
+        """Distinct (text, window, passage) of both searches that an exact check may confirm."""
+        found = [np.stack(x) for x in (*candidates(at.texts), shingles.hits(at))]
+        text, window, p = np.unique(np.concatenate(found, axis=1), axis=1)
+        keep = possible(at, text, window, p)
+        yield from zip(text[keep].tolist(), window[keep].tolist(), p[keep].tolist(), strict=True)
 
     def closeness(ids: np.ndarray, window: int, p: int) -> float:
         words = ids[window * STRIDE: window * STRIDE + PASSAGE]
@@ -377,9 +396,16 @@ def _search(index: Index):
     def step(cols):
         out: dict[str, list] = {c.split()[0]: [] for c in MATCH.split(", ")}
         ids = [code(t) for t in cols["text"]]
+        at = Step(ids)
         best: dict[tuple[int, int | None], tuple] = {}
-        for text, window, near in itertools.chain(candidates(ids), copies(ids)):
-            for p, common, share, answer in check(ids[text], window, near):
+        for (text, window), group in itertools.groupby(pairs(at), key=lambda x: x[:2]):
+            begin, end = at.near(text, window)
+            words = at.ids[begin:end]
+            words = words[words >= 0].tolist()
+            for _, _, p in group:
+                common = common_subsequence(masks[p], int(lengths[p]), words)
+                share, answer = common / int(lengths[p]), index.answers[p]
+                answer = len(answer.intersection(words)) / len(answer)
                 if share < VERBATIM and not (share >= PARAPHRASE and answer >= ANSWER):
                     continue
                 key, cosine = (text, block.items[p]), closeness(ids[text], window, p)

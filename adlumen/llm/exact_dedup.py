@@ -15,7 +15,8 @@ collisions, go round again among themselves until none is left.
 
 Defined cases: null text is the empty text; of rows with the same doc_id and
 equal texts one stays; a null doc_id is smaller than any other; an empty table
-gives no rows; columns other than doc_id and text are ignored.
+gives no rows; columns other than doc_id and text are ignored.  All of this
+holds for colliding fingerprints too.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ HUGE_CHARS = 1 << 16    # longer documents are hashed in parallel
 PART_CHARS = 1 << 14    # their chunks
 BUCKET = 2048           # members of a group compared in one bucket
 COMPARE_CHARS = 1 << 14
+REPEATS = 1 << 16       # copies of one row that one task gives back
 
 
 @functools.lru_cache(maxsize=8)
@@ -70,9 +72,9 @@ def fingerprint(data: bytes, which: int) -> int:
     return h
 
 
-def _hashed(df: DataFrame, keep_text: bool = False) -> DataFrame:
-    """``df`` with h1 and h2 of its column ``text``, which is dropped unless kept."""
-    names = [c for c in df.columns if keep_text or c != "text"]
+def _hashed(df: DataFrame) -> DataFrame:
+    """``df`` with h1 and h2 of its column ``text``, which is dropped."""
+    names = [c for c in df.columns if c != "text"]
     types = dict(df.dtypes)
     schema = ", ".join([*(f"{c} {types[c]}" for c in names), "h1 bigint", "h2 bigint"])
 
@@ -202,18 +204,33 @@ def _compare(texts: DataFrame) -> DataFrame:
     return seen.groupBy(*names).agg((~F.max("differs")).alias("same"))
 
 
+def _key(rows: DataFrame, *more: str) -> DataFrame:
+    """``rows`` with doc_id as a pair that is never null, for plain equality joins."""
+    return rows.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("unnamed"), *more)
+
+
+def _members(texts: DataFrame, rows: DataFrame, groups: DataFrame, name: str) -> DataFrame:
+    """Texts of the rows (doc_id, sha, GROUP) whose group is in ``groups``, with GROUP,
+    size, leader and leader_sha.  Rows are named by (doc_id, sha), null ids too, so
+    nothing of their texts is hashed again."""
+    found = rows.select("doc_id", "sha", *GROUP).distinct().join(groups, list(GROUP))
+    found = small_side(_key(found, "sha", *GROUP, "size", "leader", "leader_sha"), name)
+    on = ["id", "unnamed", "sha"]
+    return _key(texts, "doc_id", "sha", "text").join(found, on).drop("id", "unnamed")
+
+
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
     rows, _, _ = materialize(fingerprints(docs), "fingerprints")
-    texts = _hashed(_normalised(docs), keep_text=True)
+    texts = _normalised(docs).drop("n_bytes")
     groups = small_side(_leaders(rows), "equal-fingerprints")
-    members = texts.join(groups, list(GROUP))
+    members = _members(texts, rows, groups, "equal-rows")
     classes = None
     while True:
         table, _, seen = materialize(_compare(_once(members)), "compared", [
             F.coalesce(F.sum((~F.col("same")).cast("bigint")), F.lit(0)).alias("left")])
-        found = table.where("same").join(groups.select(*GROUP, "leader"), list(GROUP))
-        found = found.select("doc_id", "sha", F.col("leader").alias("keep"))
+        found = table.where("same").join(groups.select(*GROUP, "leader", "leader_sha"), list(GROUP))
+        found = found.select("doc_id", "sha", F.col("leader").alias("keep"), "leader_sha")
         classes = found if classes is None else classes.unionByName(found)
         if not seen["left"]:
             break
@@ -221,19 +238,32 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         rest = table.where("not same").select("doc_id", "sha", *GROUP)
         # (repeats were dropped, so one row may stand for several)
         groups = small_side(_leaders(rest, 1), "collided")
-        members = texts.join(rest.select("doc_id", "sha").distinct(), ["doc_id", "sha"], "left_semi").join(
-            groups, list(GROUP))
-    r, c = rows.alias("r"), classes.alias("c")
+        members = _members(texts, rest, groups, "collided-rows")
+    # one row for all repeats of a row, counted in every task before the shuffle
+    each = rows.groupBy("doc_id", "sha", *GROUP).agg(F.count(F.lit(1)).alias("copies"))
+    r, c = each.alias("r"), classes.alias("c")
     named = r.join(c, F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r.sha") == F.col("c.sha")), "left")
-    named = named.select("r.doc_id", "r.sha", "r.h1", "r.h2", "r.n_bytes", F.col("c.sha").isNotNull().alias("shared"),
-                         F.when(F.col("c.sha").isNotNull(), F.col("keep")).otherwise(F.col("r.doc_id")).alias("keep_id"))
-    # a class is (group, keep_id): its rows are counted in every task before the shuffle
-    sizes = named.where("shared").groupBy(*GROUP, "keep_id").agg(F.count(F.lit(1)).alias("group_size"))
+    named = named.select("r.doc_id", "r.sha", *(f"r.{x}" for x in GROUP), "copies",
+                         F.col("c.sha").isNotNull().alias("shared"),
+                         F.when(F.col("c.sha").isNotNull(), F.col("keep")).otherwise(F.col("r.doc_id")).alias("keep_id"),
+                         F.coalesce("leader_sha", "r.sha").alias("keep_sha"))
+    # a class is (group, row that stays): its rows are counted in every task before the shuffle
+    sizes = named.where("shared").groupBy(*GROUP, "keep_id", "keep_sha").agg(F.sum("copies").alias("group_size"))
     n, z = named.alias("n"), small_side(sizes, "class-sizes").alias("z")
-    on = [F.col(f"n.{x}") == F.col(f"z.{x}") for x in GROUP] + [F.col("n.keep_id").eqNullSafe(F.col("z.keep_id"))]
+    on = [F.col(f"n.{x}") == F.col(f"z.{x}") for x in (*GROUP, "keep_sha")]
+    on.append(F.col("n.keep_id").eqNullSafe(F.col("z.keep_id")))
     out = n.join(z, on, "left").select(
         "n.doc_id", "n.keep_id", F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-        F.col("n.doc_id").eqNullSafe(F.col("n.keep_id")).alias("keeps"), F.col("n.sha").alias("text_sha256"))
-    same_row = Window.partitionBy("doc_id", "text_sha256").orderBy(F.lit(1))
-    return out.select("doc_id", "keep_id", "group_size",
-                      (F.col("keeps") & (F.row_number().over(same_row) == 1)).alias("kept"), "text_sha256")
+        (F.col("n.doc_id").eqNullSafe(F.col("n.keep_id")) & (F.col("n.sha") == F.col("n.keep_sha"))).alias("keeps"),
+        F.col("n.sha").alias("text_sha256"), "copies")
+    out, _, seen = materialize(out, "classes", [F.max("copies").alias("most")])
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    once = out.where("copies = 1").withColumn("kept", F.col("keeps")).select(*columns)
+    if (seen["most"] or 1) == 1:
+        return once
+    # repeats come back as rows; those of a row that repeats very often by several tasks
+    dealt = out.where("copies > 1").withColumn("first", F.explode(F.sequence(
+        F.lit(1).cast("bigint"), F.col("copies"), F.lit(REPEATS).cast("bigint")))).repartition("text_sha256", "first")
+    again = dealt.withColumn("copy", F.explode(F.sequence(
+        F.col("first"), F.least(F.col("copies"), F.col("first") + (REPEATS - 1)))))
+    return once.unionByName(again.withColumn("kept", F.col("keeps") & (F.col("copy") == 1)).select(*columns))

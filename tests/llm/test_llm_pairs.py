@@ -55,6 +55,30 @@ def test_exact_dedup_cases(spark, monkeypatch):
     assert {r.doc_id: r.keep_id for r in hit} == {0: 2, 1: 4, 2: 2, 3: 5, 4: 4, 5: 5}
 
 
+def test_exact_dedup_of_colliding_rows_without_a_name(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_hashed", _colliding(exact_dedup._hashed))
+    monkeypatch.setattr(exact_dedup, "REPEATS", 2)
+    rows = [(5, "aa"), (None, "bb"), (None, "bb"), (3, "bb"), (2, "cc"), (None, "cc"), (None, "dd"), (None, "dd"),
+            (4, "ee"), (4, "ee"), (4, "ee"), (4, "ff")]
+    out = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in out) == sorted([
+        ("5", "5", 1, True), ("None", "3", 3, False), ("None", "3", 3, False), ("3", "3", 3, True),
+        ("2", "2", 2, True), ("None", "2", 2, False), ("None", "None", 2, True), ("None", "None", 2, False),
+        ("4", "4", 3, True), ("4", "4", 3, False), ("4", "4", 3, False), ("4", "4", 1, True)])
+
+
+def test_exact_dedup_hashes_huge_texts_in_parts_only(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HUGE_CHARS", 1000)
+    monkeypatch.setattr(exact_dedup, "PART_CHARS", 300)
+    longest = []
+    whole = exact_dedup._hashed
+    monkeypatch.setattr(exact_dedup, "_hashed", lambda df: longest.append(df) or whole(df))
+    df = helpers.docs(spark, ["ab" * 2000, "AB" * 2000, "ab" * 1999 + "xy", "short"])
+    kept = {r.doc_id: r.keep_id for r in exact_dedup.exact_duplicates(df).collect()}
+    assert kept == {0: 1, 1: 1, 2: 2, 3: 3}
+    assert max(r.n for d in longest for r in d.selectExpr("length(text) as n").collect()) <= 1000
+
+
 def test_exact_dedup_compares_repeated_rows_once(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "BUCKET", 4)
     rows, compared = [(7, "same text")] * 60 + [(5, "same text"), (6, "SAME text"), (1, "x"), (2, "y"), (2, "y")], []

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlumen.llm.common import arrow_map
@@ -153,11 +153,14 @@ def learn(docs: DataFrame, min_share: float = MIN_SHARE) -> Filters:
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     masks = np.zeros((max(1, -(-len(languages) // 64)), SLOTS), dtype=np.uint64)
-    for k, lang in enumerate(languages):
-        own = counts.where((F.col("lang") == lang) & (F.col("n") >= max(1.0, totals[lang] * min_share)))
-        grams = np.array([r.gram for r in own.select("gram").collect()], dtype=np.int64).view(np.uint64)
+    if languages:
+        bounds = docs.sparkSession.createDataFrame(
+            [(x, k, max(1.0, totals[x] * min_share)) for k, x in enumerate(languages)], "lang string, k int, least double")
+        # one pass over the n-grams for all languages; one row per language is broadcast
+        own = counts.join(F.broadcast(bounds), "lang").where("n >= least").select("k", "gram").toArrow()
+        which, grams = own["k"].to_numpy(), own["gram"].to_numpy().view(np.uint64)
         for p in slots(grams):
-            masks[k // 64, p] |= np.uint64(1 << k % 64)
+            np.bitwise_or.at(masks, (which // 64, p), np.uint64(1) << (which % 64).astype(np.uint64))
     fill = np.array([np.mean(masks[k // 64] >> np.uint64(k % 64) & np.uint64(1)) for k in range(len(languages))])
     return Filters(languages, masks, np.minimum(fill ** HASHES, 0.5))
 
@@ -180,7 +183,3 @@ def identify(docs: DataFrame, filters: Filters, keep: list[str] | None = None) -
         return step
 
     return arrow_map(docs.select(*cols_in), schema, make)
-
-
-def train_rows(docs: DataFrame, learn_from: Column) -> DataFrame:
-    return docs.where(learn_from).select("text", "lang")

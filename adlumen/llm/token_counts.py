@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from adlumen.llm.common import arrow_map
 from adlumen.llm.tokens import encoder, vocabulary
+from adlumen.session import materialize
 
 BLOCK = 1024
 
@@ -42,9 +43,11 @@ def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
     ``truncated_tokens`` is the corpus total when every document is cut to
     that length; ``share`` is the share of documents not longer than it.
     """
-    h = (lengths.groupBy(F.col(length).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
-                .withColumn("b", F.floor(F.col("n_tokens") / BLOCK))
-                .withColumn("tokens", F.col("n_tokens") * F.col("n_docs")))
+    # written once: the blocks and the windows both read it, and the texts are encoded before it
+    counts, _, _ = materialize(lengths.groupBy(F.col(length).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs")),
+                               "lengths")
+    h = (counts.withColumn("b", F.floor(F.col("n_tokens") / BLOCK))
+               .withColumn("tokens", F.col("n_tokens") * F.col("n_docs")))
     upto = Window.partitionBy("b").orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -12,19 +12,22 @@ bounded sample of labelled documents (``MOST`` per label) the windows with the
 letter 5-grams that toxic documents have more often are taken first; an SVM
 (squared hinge, on Nyström features) is fitted, and the windows that it scores
 highest in each document replace them; copies with a letter or space put in
-teach it to tolerate gaps.  Landmarks are up to ``LANDMARKS``
+teach it to tolerate gaps.  A space counts only as a subsequence's first symbol,
+where it marks the start of a word.  Landmarks are up to ``LANDMARKS``
 strings: the commonest cores of those first windows (the letters that their
 strongest 5-grams cover), and windows of documents that are not toxic.
 
 Because f(s) = sum_j beta_j k(s, landmark_j) is linear in the subsequence
 features, the landmarks fold into one weight per feature; scoring a text is one
-table look-up per subsequence, over the whole text.  A document's margin is
-that of its highest window, made a probability by a logistic fit.
+table look-up per subsequence, over the whole text.  A document's evidence is
+the margin of its highest window and the mean of the next two that do not
+overlap it; a logistic fit over both makes it a probability.
 
 Defined cases: a null text is empty; texts without letters have the margin of
 an empty window and so a low score; null labels are not learnt from; with
 labels of one kind only every score is that label's share (0 without labels);
-repeated rows score alike; an empty table gives no rows.
+repeated rows score alike, and of the rows of one doc_id one is learnt from; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,11 +47,12 @@ from adlumen.session import materialize
 WINDOW = 16
 SPAN = 7               # letters a subsequence may reach over
 DECAY = 0.7           # per skipped character
-LANDMARKS = 256
+LANDMARKS = 512
 MOST = 4000            # labelled documents of each label that are learnt from
 GRAMS = 4096           # 5-grams that seed the first windows
-ROUNDS = 2
+ROUNDS = 4
 NEAR = 0.4
+HIGHEST = 3            # windows of a document that decide
 SEED = 11
 TABLE = 1 << 20        # 32 letters, four at a time
 
@@ -115,9 +119,9 @@ def subsequences(c: np.ndarray):
 
 @functools.lru_cache(maxsize=1)
 def _spaced() -> np.ndarray:
-    """Features with a space among their letters; they count nothing."""
+    """Features with a space after their first symbol; they count nothing (a first space marks a word's start)."""
     i = np.arange(TABLE)
-    return ((i & 31) == 0) | ((i >> 5 & 31) == 0) | ((i >> 10 & 31) == 0) | ((i >> 15) == 0)
+    return ((i & 31) == 0) | ((i >> 5 & 31) == 0) | ((i >> 10 & 31) == 0)
 
 
 def margins(c: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -143,27 +147,24 @@ def five_grams(c: np.ndarray) -> np.ndarray:
 class Model:
     table: np.ndarray      # weight of each subsequence feature
     base: float            # margin of a window without any
-    slope: float
-    offset: float
+    slopes: np.ndarray     # of the highest margin, of the mean of the next two, and the constant
     constant: float | None = None
 
     def document_margins(self, texts: list) -> np.ndarray:
-        if self.constant is not None:
-            return np.zeros(len(texts))
-        out = np.zeros(len(texts))
+        """Per text the highest margin and the mean of the next two, of windows that don't overlap."""
+        out = np.zeros((len(texts), 2))
         for at, codes in _blocks([fold(t) for t in texts]):
             c, starts = _padded(codes)
             m = margins(np.concatenate([c, np.zeros(WINDOW, np.int32)]), self.table)
-            # windows that start in a text; they end in the spaces after it
-            ends = starts[:-1] + [max(1, len(x)) for x in codes]
-            out[at: at + len(codes)] = np.maximum.reduceat(m, np.stack([starts[:-1], ends], axis=1).ravel())[::2]
+            for k, x in enumerate(codes):  # windows that start in a text; they end in the spaces after it
+                own = m[starts[k]: starts[k] + max(1, len(x))]
+                out[at + k] = _evidence(own, _best(own, HIGHEST))
         return out + self.base
 
     def score(self, texts: list) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        z = np.clip(self.slope * self.document_margins(texts) + self.offset, -30, 30)
-        return 1 / (1 + np.exp(-z))
+        return 1 / (1 + np.exp(-np.clip(self.document_margins(texts) @ self.slopes[:2] + self.slopes[2], -30, 30)))
 
 
 def _blocks(codes: list[np.ndarray], most: int = 32_768):
@@ -192,7 +193,10 @@ def sample_documents(docs: DataFrame, labels: DataFrame, label: str, learn_from:
         return lambda cols: {"y": cols["y"], "codes": [fold(t).tobytes() for t in cols["text"]]}
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = arrow_map(texts.join(chosen, "doc_id").select("y", "text"), "y int, codes binary", make)
+    # of the rows of one doc_id only that with the smallest hash, so that rows are as few as ids
+    named = F.struct(F.xxhash64("text").alias("h"), "text")
+    texts = texts.join(chosen, "doc_id").groupBy("doc_id", "y").agg(F.min(named).alias("row"))
+    found = arrow_map(texts.select("y", F.col("row.text").alias("text")), "y int, codes binary", make)
     return materialize(found, "toxic-sample")[0], count
 
 
@@ -229,6 +233,12 @@ def seed_grams(sample: DataFrame, n: dict[int, int]) -> tuple[np.ndarray, np.nda
     return np.array([g for g, _ in rows], dtype=np.int64), np.array([w for _, w in rows])
 
 
+def _evidence(m: np.ndarray, best: list[int]) -> tuple[float, float]:
+    """The highest margin and the mean of the next; an absent window has none of the features, so 0."""
+    v = [float(m[i]) for i in best] + [0.0] * (HIGHEST - len(best))
+    return v[0], sum(v[1:]) / (HIGHEST - 1)
+
+
 def _best(m: np.ndarray, k: int) -> list[int]:
     """Starts of the ``k`` highest windows that do not overlap."""
     m, out = m.copy(), []
@@ -242,39 +252,41 @@ def _best(m: np.ndarray, k: int) -> list[int]:
 
 
 def windows(sample: DataFrame, score) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(y, margin, codes) of each document's highest windows by ``score`` (codes -> window values).
+    """(y, evidence, codes) of each document's highest windows by ``score`` (codes -> window values).
 
     Bounded by the sample: three windows of a document at most.  Of a toxic
     document the further ones must come to ``NEAR`` of the highest.  The first
-    window of each document has its margin, the others NaN.
+    window of each document has the document's evidence, the others NaN.
     """
 
     def make():
         rng = np.random.default_rng(SEED)
 
         def step(cols):
-            out: dict[str, list] = {"y": [], "m": [], "codes": []}
+            out: dict[str, list] = {"y": [], "m": [], "next": [], "codes": []}
             for y, raw in zip(cols["y"], cols["codes"], strict=True):
                 c = np.concatenate([np.zeros(4, np.int32), np.frombuffer(raw, dtype=np.uint8).astype(np.int32),
                                     np.zeros(WINDOW, np.int32)])
                 m = score(c)
-                at = _best(m, 3 if y else 2)
+                at = _best(m, HIGHEST)
+                top, further = _evidence(m, at)
                 if y:
                     at = at[:1] + [i for i in at[1:] if m[i] >= NEAR * m[at[0]] > 0]
                 elif len(m):
-                    at.append(int(rng.integers(len(m))))
+                    at = [*at[:2], int(rng.integers(len(m)))]
                 for k, i in enumerate(at):
                     out["y"].append(y)
-                    out["m"].append(float("nan") if k else float(m[i]))
+                    out["m"].append(float("nan") if k else top)
+                    out["next"].append(further)
                     out["codes"].append(c[i: i + WINDOW].astype(np.uint8).tobytes())
             return out
 
         return step
 
-    rows = arrow_map(sample, "y int, m double, codes binary", make, text=None).collect()
+    rows = arrow_map(sample, "y int, m double, next double, codes binary", make, text=None).collect()
     rows.sort(key=lambda r: (r.y, r.codes))
     codes = np.array([np.frombuffer(bytes(r.codes), dtype=np.uint8) for r in rows], dtype=np.int32)
-    return np.array([r.y for r in rows]), np.array([r.m for r in rows]), codes.reshape(len(rows), WINDOW)
+    return np.array([r.y for r in rows]), np.array([(r.m, r.next) for r in rows]), codes.reshape(len(rows), WINDOW)
 
 
 def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,21 +323,24 @@ class Kernel:
         return out
 
 
-def svm(z: np.ndarray, y: np.ndarray, c: float = 100.0) -> np.ndarray:
-    """Linear SVM with squared hinge loss and balanced labels, by Newton steps.
+def svm(z: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, c: float = 100.0) -> np.ndarray:
+    """Linear SVM with squared hinge loss and balanced labels, by Newton steps from ``w`` (default zero).
 
     The last column of ``z`` is the constant's; rows are added up in blocks.
     """
     sign = np.where(y == 1, 1.0, -1.0)
     cost = c * np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    w, ridge = np.zeros(z.shape[1]), np.eye(z.shape[1])
+    w, ridge = np.zeros(z.shape[1]) if w is None else w, np.eye(z.shape[1])
     ridge[-1, -1] = 1e-6
 
+    def reach(w):
+        return sign * np.concatenate([z[k: k + 4096] @ w for k in range(0, len(z), 4096)])
+
     def loss(w):
-        return 0.5 * w @ ridge @ w + 0.5 * (cost * np.maximum(0, 1 - sign * (z @ w)) ** 2).sum()
+        return 0.5 * w @ ridge @ w + 0.5 * (cost * np.maximum(0, 1 - reach(w)) ** 2).sum()
 
     for _ in range(30):
-        inside = np.flatnonzero(sign * (z @ w) < 1)
+        inside = np.flatnonzero(reach(w) < 1)
         grad, curve = ridge @ w, ridge.copy()
         for k in range(0, len(inside), 4096):
             i = inside[k: k + 4096]
@@ -374,47 +389,55 @@ def with_gaps(codes: np.ndarray, times: int = 2) -> np.ndarray:
     return np.where(col == at[:, None], new[:, None], moved).astype(codes.dtype)
 
 
-def fit_windows(y: np.ndarray, codes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, float]:
-    """(table, base) of the SVM over windows, with the landmarks ``marks``."""
-    kernel = Kernel(marks)
-    among = kernel(marks)
-    scale = max(np.median(np.diag(among)), 1e-9)
-    value, vector = np.linalg.eigh(among / scale)
-    keep = value > 1e-6 * value.max()
-    root = vector[:, keep] / np.sqrt(value[keep])      # K^(-1/2) on its range
-    z = np.ones((len(codes), root.shape[1] + 1), dtype=np.float32)
-    for a in range(0, len(codes), 1024):
-        z[a: a + 1024, :-1] = kernel(codes[a: a + 1024]) / scale @ root
-    w = svm(z, y)
-    base = float(w[-1])
-    beta = root @ w[:-1] / scale
-    table = np.zeros(TABLE)
-    index, weight = _features(marks)
-    np.add.at(table, index.ravel(), np.outer(beta, weight).ravel())
-    table[_spaced()] = 0
-    return table.astype(np.float32), base
-
-
-def logistic(m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of P(y = 1 | margin), with a slight pull to a slope of 1."""
-    x = np.stack([m, np.ones(len(m))], axis=1)
-    w, ridge = np.array([1.0, 0.0]), np.diag([1e-2, 1e-4])
+class Nystrom:
+    """Kernel features of windows from fixed landmarks, and the SVM's weights folded back."""
+
+    def __init__(self, marks: np.ndarray):
+        self.marks, self.kernel = marks, Kernel(marks)
+        among = self.kernel(marks)
+        self.scale = max(np.median(np.diag(among)), 1e-9)
+        value, vector = np.linalg.eigh(among / self.scale)
+        keep = value > 1e-6 * value.max()
+        self.root = vector[:, keep] / np.sqrt(value[keep])      # K^(-1/2) on its range
+
+    def features(self, codes: np.ndarray) -> np.ndarray:
+        """The last column is the constant's."""
+        z = np.ones((len(codes), self.root.shape[1] + 1), dtype=np.float32)
+        for a in range(0, len(codes), 1024):
+            z[a: a + 1024, :-1] = self.kernel(codes[a: a + 1024]) / self.scale @ self.root
+        return z
+
+    def table(self, w: np.ndarray) -> np.ndarray:
+        """Weight of each subsequence feature."""
+        beta = self.root @ w[:-1] / self.scale
+        table = np.zeros(TABLE)
+        index, weight = _features(self.marks)
+        np.add.at(table, index.ravel(), np.outer(beta, weight).ravel())
+        table[_spaced()] = 0
+        return table.astype(np.float32)
+
+
+def logistic(m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Slopes and constant of P(y = 1 | evidence), with a slight pull to a slope of 1 for the highest margin."""
+    x = np.hstack([m, np.ones((len(m), 1))])
+    pull, ridge = np.array([1.0, 0.0, 0.0]), np.diag([1e-2, 1e-2, 1e-4])
+    w = pull
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (weight * (p - y)) + ridge @ (w - [1.0, 0.0])
+        g = x.T @ (weight * (p - y)) + ridge @ (w - pull)
         h = (x.T * (weight * np.maximum(p * (1 - p), 1e-6))) @ x + ridge
         step = np.linalg.solve(h, g)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return max(float(w[0]), 1e-3), float(w[1])
+    return np.array([max(w[0], 1e-3), max(w[1], 0.0), w[2]])
 
 
 def fit(sample: DataFrame, counts: dict[int, int], rounds: int = ROUNDS) -> Model:
     nothing = np.zeros(0)
     n = {0: 0, 1: 0} | {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n[0] or not n[1]:
-        return Model(nothing, 0.0, 1.0, 0.0, constant=float(n[1] > 0))
+        return Model(nothing, 0.0, nothing, constant=float(n[1] > 0))
     grams, lifts = seed_grams(sample, n)
 
     def by_grams(c):
@@ -435,18 +458,20 @@ def fit(sample: DataFrame, counts: dict[int, int], rounds: int = ROUNDS) -> Mode
     marks = np.unique(np.vstack([first[: LANDMARKS * 3 // 4], codes[others]]), axis=0)
     negatives = codes[y == 0]
     positives = codes[y == 1]
+    nystrom, w = Nystrom(marks), None
     for _ in range(rounds + 1):
         toxic = np.vstack([positives, with_gaps(positives)])
         labels = np.repeat([1, 0], [len(toxic), len(negatives)])
-        table, base = fit_windows(labels, np.vstack([toxic, negatives]), marks)
+        w = svm(nystrom.features(np.vstack([toxic, negatives])), labels, w)
+        table, base = nystrom.table(w), float(w[-1])
         y, m, codes = windows(sample, lambda c, table=table: margins(c, table))
         negatives = np.unique(np.vstack([negatives, codes[y == 0]]), axis=0)
         positives = codes[y == 1]
-    y, m = y[~np.isnan(m)], m[~np.isnan(m)]
+    first = ~np.isnan(m[:, 0])
+    y, m = y[first], m[first]
     # the logistic fit sees each label as often as the labelled rows have it
     weight = np.where(y == 1, counts.get(1, 1) / max(1, (y == 1).sum()), counts.get(0, 1) / max(1, (y == 0).sum()))
-    slope, offset = logistic(m + base, y, weight / weight.mean())
-    return Model(table, base, slope, offset)
+    return Model(table, base, logistic(m + base, y, weight / weight.mean()))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", modulus: int = 4,

@@ -2,9 +2,17 @@
 
 A page is cut into flat blocks of text at block-level tags.  Each block is
 described by word count and link density, its neighbours' word counts and link
-densities, and what encloses it (an article, a boilerplate container, a heading).
+densities, and one feature each for what encloses it: structure (article,
+nothing, furniture), heading, list item.
 A decision tree (Gini splits) is grown on the small labelled table below: blocks
-of a few hand-made pages.  The blocks that it calls content are joined.
+of a few hand-made pages, with and without telling elements.  The blocks that
+it calls content are joined.
+
+An element is furniture by its tag, or by a class, id or role that consists of
+furniture words (``cookie-banner``, ``site-header``; not ``with-sidebar`` or
+``share-price``).  That is not believed of an element that holds an h1, article or
+main and over half of the page's words outside links, with no article or main
+outside it: such a wrapper holds the text.
 
 Defined cases: a null page is empty and its text is empty; scripts, styles,
 comments and the head are no blocks; markup that is never closed or cut off at
@@ -42,6 +50,11 @@ nav navbar navigation menu menus breadcrumb breadcrumbs sidebar side aside widge
 comment comments disqus reply replies respond discussion share sharing social related recommended recommendations
 pagination pager tags tagcloud copyright legal disclaimer toolbar search contentinfo complementary gdpr""".split())
 CONTENT_WORDS = frozenset("article post entry story content main body text".split())
+# fixed values: words that say nothing more beside a furniture word in one class name
+PLAIN_WORDS = frozenset("""site page main top bottom left right primary secondary global box bar list item items block
+area section slot unit link links form button buttons icon icons post posts article articles news content container
+inner thread count title panel strip row""".split())
+HIDDEN = "hidden"
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
@@ -50,6 +63,8 @@ _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _EACH_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 _NAME = re.compile(r"[a-z]+")
+# furniture tags that some pages put around everything
+WRAPPERS = frozenset("form header dialog fieldset".split())
 
 
 @dataclass
@@ -61,18 +76,24 @@ class Block:
     content: bool
     heading: bool
     item: bool
+    inside: tuple[int, ...] = ()      # furniture elements around it that may hold the text
 
 
-def _names(attributes: str) -> list[str]:
-    out: list[str] = []
+def _names(attributes: str) -> list[list[str]]:
+    """The words of each class, id and role."""
+    out: list[list[str]] = []
     for m in _ATTR.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        for name in value.split():
-            parts = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
-            out += parts
+        for name in (m[2] or m[3] or m[4] or "").split():
+            out.append(_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
     return out
 
 
+def _furniture(words: list[str]) -> bool:
+    """Whether a class name as a whole names page furniture."""
+    return (any(w in BOILER_WORDS for w in words)
+            and all(w in BOILER_WORDS or w in PLAIN_WORDS for w in words))
+
+
 def _hidden(attributes: str) -> bool:
     """Whether an attribute of its own hides the element."""
     if not _MAY_HIDE.search(attributes):
@@ -86,19 +107,18 @@ def _hidden(attributes: str) -> bool:
 
 
 def _kind(tag: str, attributes: str, in_content: bool) -> str:
-    """What an element says about its inside: boiler, content or nothing."""
+    """What an element says about its inside: boiler, hidden, content or nothing."""
+    if attributes and tag != "body" and tag != "html" and _hidden(attributes):
+        return HIDDEN
+    names = _names(attributes) if attributes.strip() else []
     if tag in CONTENT_TAGS:
-        names = _names(attributes) if attributes.strip() else []
-        return "boiler" if any(n in ("comment", "comments", "reply") for n in names) else "content"
+        return "boiler" if any(w in ("comment", "comments", "reply") for n in names for w in n) else "content"
     if tag in BOILER_TAGS and not (tag == "header" and in_content):
         return "boiler"
-    if attributes and tag != "body" and tag != "html":
-        if _hidden(attributes):
-            return "boiler"
-        names = _names(attributes)
-        if any(n in BOILER_WORDS for n in names):
+    if names and tag != "body" and tag != "html":
+        if any(map(_furniture, names)):
             return "boiler"
-        if tag != "header" and any(n in CONTENT_WORDS for n in names):
+        if tag != "header" and any(n and n[-1] in CONTENT_WORDS and len(n) <= 2 for n in names):
             return "content"
     return ""
 
@@ -107,9 +127,11 @@ def blocks(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in order."""
     page = page or ""
     out: list[Block] = []
-    open_tags: list[tuple[str, str]] = []      # block elements and what they say
+    open_tags: list[tuple[str, str, int]] = []      # block elements, what they say, their numbers
     text: list[tuple[str, bool]] = []
-    links = boiler = content = headings = items = 0
+    links = boiler = content = headings = items = tags = 0
+    inside: list[int] = []                          # open furniture that may yet hold the text
+    telling: list[tuple[bool, tuple[int, ...]]] = []  # article, main (True) and h1 (False), and what they are inside
     at, n = 0, len(page)
 
     def flush():
@@ -119,13 +141,16 @@ def blocks(page: str | None) -> list[Block]:
         if words:
             linked = sum(len(html.unescape(t).split()) for t, a in text if a)
             out.append(Block(words, words.count(" ") + 1, min(linked, words.count(" ") + 1), boiler > 0,
-                             content > 0, headings > 0, items > 0))
+                             content > 0, headings > 0, items > 0, tuple(inside)))
         text.clear()
 
     def leave(entry):
         nonlocal boiler, content, headings, items
-        tag, kind = entry
-        boiler -= kind == "boiler"
+        tag, kind, number = entry
+        if inside and inside[-1] == number:
+            inside.pop()
+        elif kind in ("boiler", HIDDEN):
+            boiler -= 1
         content -= kind == "content"
         headings -= tag in HEADINGS
         items -= tag == "li"
@@ -146,7 +171,7 @@ def blocks(page: str | None) -> list[Block]:
                 links = 0
             elif tag not in INLINE:
                 flush()
-                if any(t == tag for t, _ in open_tags):
+                if any(entry[0] == tag for entry in open_tags):
                     while open_tags:
                         entry = open_tags.pop()
                         leave(entry)
@@ -169,9 +194,15 @@ def blocks(page: str | None) -> list[Block]:
             while tag in ("p", "li") and open_tags and open_tags[-1][0] in (("p",) if tag == "p" else ("p", "li")):
                 leave(open_tags.pop())
             kind = _kind(tag, m[3], content > 0)
-            open_tags.append((tag, kind))
-            boiler += kind == "boiler"
+            tags += 1
+            open_tags.append((tag, kind, tags))
+            if kind == "boiler" and (tag not in BOILER_TAGS or tag in WRAPPERS) and tag not in CONTENT_TAGS:
+                inside.append(tags)
+            elif kind in ("boiler", HIDDEN):
+                boiler += 1
             content += kind == "content"
+            if (tag in CONTENT_TAGS and kind == "content") or tag == "h1":
+                telling.append((tag != "h1", tuple(inside)))
             headings += tag in HEADINGS
             items += tag == "li"
             if tag not in ("p", "li"):
@@ -181,11 +212,19 @@ def blocks(page: str | None) -> list[Block]:
         cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)
         text.append((rest[: cut.start()] if cut else rest, links > 0))
     flush()
+    plain = sum(b.words - b.linked for b in out)
+    held: dict[int, int] = {}
+    for b in out:
+        for k in b.inside:
+            held[k] = held.get(k, 0) + b.words - b.linked
+    for b in out:
+        b.boiler = b.boiler or any(not (2 * held[k] > plain and any(k in around for _, around in telling)
+                                        and all(k in around for strong, around in telling if strong)) for k in b.inside)
     return out
 
 
 FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after",
-            "heading", "item", "page_has_content", "content", "boiler")
+            "structure", "heading", "item", "page_has_content")
 
 
 def features(page: list[Block]) -> np.ndarray:
@@ -200,7 +239,7 @@ def features(page: list[Block]) -> np.ndarray:
         x[:, k] = v
     has = any(b.content and not b.boiler for b in page)
     for i, b in enumerate(page):
-        x[i, 6:] = (b.heading, b.item, has, b.content, b.boiler)
+        x[i, 6:] = (-1 if b.boiler else int(b.content), b.heading, b.item, has)
     return x
 
 
@@ -249,6 +288,40 @@ LABELLED: tuple[tuple[tuple[str, int], ...], ...] = (
      ("<p>Old maps show what people believed; new maps show where the roads and the borders are today.</p>", 1)),
     (("<body><main><p>One.</p>", 1), ("<table><tr><td>cell</td>", 1), ("<td>other cell</td></tr></table></main>", 1),
      ("<div>Follow us</div>", 0)),
+    (("<body><article><p>The harbour was full of ships from the north when the storm came in from the sea.</p>", 1),
+     ("<p><a href=x>A list of all the ships that were lost in the night and of those that came home</a></p>", 1),
+     ("<p><a href=x>More</a></p>", 1), ("<p>None was found.</p></article>", 1)),
+    (("<body><div><a href=x>Up</a></div>", 0), ("<main><h1>Wells</h1>", 1), ("<ul><li><a href=x>Deep ones</a></li>", 1),
+     ("<li>Old ones</li></ul>", 1), ("<p>The end</p></main>", 1)),
+    (("<body><p>Closed today.</p>", 1),),
+    (("<body><h1>Notice</h1>", 1), ("<p>Closed today.</p>", 1)),
+    (("<body><p><a href=x>Go to the start page</a></p>", 0),),
+    (("<body><div><a href=x>Home</a> | <a href=x>About us</a> | <a href=x>Write to us</a></div>", 0),
+     ("<div>The mayor opened the new library on Saturday, and two hundred people came to see its rooms.</div>", 1),
+     ("<div>It rained.</div>", 1),
+     ("<div>The shelves hold forty thousand books, and a reading room for children looks out on the river.</div>", 1),
+     ("<div><a href=x>Older</a> <a href=x>Newer</a></div>", 0), ("<div>All rights reserved</div>", 0)),
+    (("<body><div class='cookie-banner'>We and our partners use cookies to store what you read here and for how long.</div>", 0),
+     ("<div><h1>Flood</h1>", 1), ("<p>The river rose for three days, and then the lower streets stood under a foot of water.</p>", 1),
+     ("<p>Yes.</p>", 1), ("<p>On the fourth day it fell, and the people of the town went home to see what was left.</p></div>", 1),
+     ("<div class='comment-list'><p>I think that all of this is true, for I was there and saw it with my own eyes.</p>", 0),
+     ("<p>So did I, and I would like to add that the bridge was never safe and should be closed.</p></div>", 0),
+     ("<footer>Written and printed in the town</footer>", 0)),
+    (("<body><nav><a href=x>Home</a></nav>", 0), ("<div><h1>Thaw</h1>", 1),
+     ("<p>The ice broke up on the lake this morning with a noise that was heard far away.</p></div>", 1),
+     ("<div class='comments'>A fine story about the ice, as always, and I hope for more of them from you soon.</div>", 0),
+     ("<aside>The shop sells maps of the lake, and of the hills around it, at a fair price all year.</aside>", 0)),
+    (("<body><div class='newsletter'>Sign up and get one letter a week with all that is new in the town.</div>", 0),
+     ("<div>Home</div>", 0), ("<p>The market opens at seven, and by nine the best of the fish is sold to those who came early.</p>", 1),
+     ("<p>Bread and cheese last until noon, when the stalls close and the square is swept and washed.</p>", 1),
+     ("<div class='ad'>Buy two pairs of our warm socks this week and pay for only one of the two.</div>", 0),
+     ("<p>Nobody comes late twice.</p>", 1),
+     ("<p>In winter there is no market, and the square is left to the children and their sledges.</p>", 1),
+     ("<div class='related-posts'>What we wrote about markets in the last year, and what our readers made of it</div>", 0),
+     ("<div>Privacy</div>", 0)),
+    (("<body><div class='layout with-sidebar'><div><a href=x>Home</a> <a href=x>News</a></div>", 0),
+     ("<article><h1>Snow</h1>", 1), ("<p>Snow fell in the hills on the last night of the year and stayed until the thaw.</p>", 1),
+     ("</article><div class='sidebar'>Short lists of what else is new here and there</div></div>", 0)),
     (("<body><main><p>Alone</p></main>", 1), ("<p>Printed on paper made from old paper, in a town that has a paper mill and a press.</p>", 0)),
 )
 
@@ -288,13 +361,13 @@ def _impurity(y: np.ndarray) -> float:
     return len(y) * 2 * p * (1 - p)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Tree:
-    """Gini tree; of equally good splits the one on the later, structural feature wins."""
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 10) -> Tree:
+    """Gini tree; of equally good splits the one on the earlier feature, words and links, wins."""
     tree = Tree(int(y.mean() > 0.5) if len(y) else 0)
     if depth == 0 or len(set(y.tolist())) < 2:
         return tree
     best = (_impurity(y) - 1e-9, -1, 0.0)
-    for k in reversed(range(x.shape[1])):
+    for k in range(x.shape[1]):
         values = np.unique(x[:, k])
         for at in (values[1:] + values[:-1]) / 2:
             low = x[:, k] <= at

@@ -240,3 +240,39 @@ def test_equal_pieces_spread_over_shards(spark, monkeypatch):
     assert len(rows) == 2000 and len({(r.sequence_id, r.offset) for r in rows}) == 2000
     shards = [r.sequence_id >> 32 for r in rows]
     assert len(set(shards)) == 20 and max(map(shards.count, set(shards))) < 200
+
+
+ARTICLE = "<h1>T</h1><p>Rain fell on the town for three days, and the river rose.</p><p>Yes.</p>"
+
+
+def test_wrappers_with_furniture_names_keep_their_article():
+    want = "T Rain fell on the town for three days, and the river rose. Yes."
+    for wrapper in ("<div class='layout with-sidebar'>", "<div class='page no-comments'>", "<div id='page-header-wrap'>",
+                    "<div class='share-price'>", "<div class='sidebar-wrapper'>", "<div class='header'>", "<div>",
+                    "<div class='sidebar'>", "<form id=all>"):
+        for body in (ARTICLE, f"<article>{ARTICLE}</article>"):
+            page = (f"<body><nav><a href=x>Home</a></nav>{wrapper}{body}</{wrapper[1:4]}{'m' if 'form' in wrapper else ''}>"
+                    "<div class='comment-list'>I think that this is fine and so on.</div><footer>c</footer></body>")
+            assert html_text.main_text(page) == want, wrapper
+    teasers = ("<main>" + ARTICLE + "</main><div class='related-posts'><article><h1>Other</h1><p>"
+               + "many more words than the text has " * 9 + "</p></article></div>")
+    assert html_text.main_text(teasers) == want
+    assert html_text.main_text("<div hidden><article>" + ARTICLE + "</article></div>") == ""
+    assert html_text.main_text("<body><p>One short paragraph.</p></body>") == "One short paragraph."
+
+
+def test_pages_without_telling_elements_are_decided_by_words_and_links(spark):
+    """Every element a div without class: link lists go, paragraphs of some words stay."""
+    import re
+
+    kept = wanted = links = 0
+    for r in spark.read.parquet(f"{helpers.DATA}/pages.parquet").collect():
+        flat = re.sub(r"<(/?)(?:article|nav|ul|li|footer|aside|section|header|form|main)\b[^>]*>", r"<\1div>", r.html)
+        found = html_text.main_text(re.sub(r"<div [^>]*>", "<div>", flat))
+        text = html_text.main_text(r.html)
+        paragraphs = [b.text for b in html_text.blocks(r.html) if b.content and not b.boiler and b.words > 3]
+        assert text
+        wanted, kept = wanted + len(paragraphs), kept + sum(p in found for p in paragraphs)
+        anchors = re.findall(r"<li><a [^>]*>([^<]*)</a>", r.html)
+        links += sum(found.startswith(a + " ") for a in anchors[:1])
+    assert kept == wanted > 0 and links == 0

@@ -6,12 +6,14 @@ ids in blocks of ``BLOCK`` passages, each block in two passes over all documents
 an excerpt that would suffice at one place of the item suffices at any other.
 
 1. Every task turns its documents into passages over the block's terms and sums
-   document frequencies and (TF^T TF) Omega, a randomised range finder with one
-   power step; the sums are added in a tree of tasks.  As A = TF D with
+   document frequencies and (TF^T TF) Omega, the sketch of a randomised SVD; the
+   sums are added in a tree of tasks.  As A = TF D with
    D = diag(idf), taking D^-1 Omega as test matrix makes D (TF^T TF) Omega the
    sketch of A^T A, so idf and sketch need one pass.  The benchmark's passages
    are added with the same total energy as the corpus, so that their terms are
-   among the leading directions; QR gives the basis.
+   among the leading directions.  The sketch has ``OVERSAMPLE`` columns more than
+   dimensions; the small matrix between test matrix and sketch and an SVD (the
+   single-pass Nystroem form) give the leading right singular vectors of A.
 2. Overlapping windows of every document are projected and compared with all
    passages of the block by cosine; a window must also contain ``CONTAINED`` of
    the passage's length along its direction.  The latent space blurs as passages
@@ -49,12 +51,15 @@ from adlumen.llm.common import arrow_map, steps, tree_sum
 STRIDE = 16                   # words; a window is three strides
 PASSAGE = 3 * STRIDE
 DIMENSIONS = 128
+OVERSAMPLE = 10               # columns of the sketch beyond the dimensions
+RANK = 1e-6                   # directions of less energy than this share of the first are noise
 COSINE = 0.35
 CONTAINED = 0.45              # of a passage's vector must lie in the window's
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.6, 0.7
 LEAST = 6
 SHINGLE = 3                   # words in a row that make a candidate by themselves
 BLOCK = 2048
+CELLS = 1 << 26               # terms times passages of a block at most: one byte each in a task
 SEED = 5
 PAIRS = 1 << 14               # windows and passages that are bounded at once
 RUN = 32                      # rows of a key that are added place by place
@@ -117,9 +122,13 @@ def passage_spans(n: int) -> list[tuple[int, int]]:
 
 
 def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]:
-    """The benchmark in blocks, by item_id; long items are cut into overlapping passages."""
+    """The benchmark in blocks, by item_id; long items are cut into overlapping passages.
+
+    A block ends, also inside an item, at ``size`` passages, or at ``CELLS`` if they are rich in terms.
+    """
     items: list[int | None] = []
     passages: list[list[str]] = []
+    terms: set[str] = set()
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     for r in rows.where(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
         words = split_words(r.text)
@@ -128,9 +137,10 @@ def benchmark_blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]
         for start, end in passage_spans(len(words)):
             items.append(r.item_id)
             passages.append(words[start:end])
-        if len(passages) >= size:
-            yield _make_block(items, passages)
-            items, passages = [], []
+            terms.update(passages[-1])
+            if len(passages) >= size or len(passages) * len(terms) >= CELLS:
+                yield _make_block(items, passages)
+                items, passages, terms = [], [], set()
     if passages:
         yield _make_block(items, passages)
 
@@ -232,17 +242,30 @@ class Index:
     answers: list[frozenset]
 
 
+def singular_vectors(test: np.ndarray, sketch: np.ndarray, k: int) -> np.ndarray:
+    """At most ``k`` leading right singular vectors of A, from ``sketch`` = A^T A ``test``.
+
+    A^T A is about sketch (test^T sketch)^+ sketch^T = B B^T, and the left
+    singular vectors of B are the right ones of A.
+    """
+    core = test.T @ sketch
+    energy, rotation = np.linalg.eigh((core + core.T) / 2)
+    full = energy > RANK * max(energy[-1], 0.0)
+    b = sketch @ (rotation[:, full] / np.sqrt(energy[full]))
+    vectors, values, _ = np.linalg.svd(b, full_matrices=False)
+    return vectors[:, :k][:, values[:k] ** 2 > RANK * values[:1] ** 2]
+
+
 def build_index(docs: DataFrame, block: Block, dimensions: int = DIMENSIONS) -> Index:
     tf = block.counts()
     n = tf.shape[1]
-    k = min(dimensions, n)
-    omega = np.random.default_rng(SEED).standard_normal((n, k)).astype(np.float32)
+    omega = np.random.default_rng(SEED).standard_normal((n, min(dimensions + OVERSAMPLE, n))).astype(np.float32)
     passages, df, squares, sketch = corpus_sketch(docs, block, omega)
     own = (tf > 0).sum(axis=0)
     idf = np.log((1 + passages + len(tf)) / (1 + df + own)) + 1e-3
     energy, own_energy = float((idf ** 2 * squares).sum()), float(((tf * idf) ** 2).sum())
     y = idf[:, None] * (sketch / max(energy, 1e-9) + tf.T @ (tf @ omega) / max(own_energy, 1e-9))
-    basis, _ = np.linalg.qr(y)
+    basis = singular_vectors(omega / idf[:, None], y, dimensions)
     vectors = (idf[:, None] * basis).astype(np.float32)
     e = tf @ vectors
     norms = np.maximum(np.linalg.norm(e, axis=1), 1e-9)
@@ -341,7 +364,7 @@ def _search(index: Index):
     # how often each term stands in each passage: bounds a common subsequence from
     # above; the last row is for words that no passage has
     n_terms = len(block.terms)
-    held = np.zeros((n_terms + 1, len(block.passages)), dtype=np.float32)
+    held = np.zeros((n_terms + 1, len(block.passages)), dtype=np.uint8)  # a passage has at most PASSAGE words
     for k, p in enumerate(block.passages):
         np.add.at(held[:, k], p, 1)
     lengths = np.array([len(p) for p in block.passages])

@@ -214,6 +214,50 @@ def test_copies_are_found_whatever_the_latent_space_says():
     assert sorted(zip(out["doc_id"], out["item_id"], out["share"], strict=True)) == [(i, i, 1.0) for i in range(60)]
 
 
+def test_search_finds_what_a_check_of_every_window_finds(spark):
+    """Also copies whose every third or fourth word is another, so that no three words in a row are left."""
+    rng = random.Random(21)
+    items = [said(rng, rng.randrange(16, 49)) for _ in range(40)]
+    texts = [" ".join(said(rng, rng.randrange(200))) for _ in range(20)]
+    for k, item in enumerate(items):
+        n = (3, 3, 4, 5)[k % 4]
+        copy = [w if i % n < n - 1 else said(rng, 1)[0] for i, w in enumerate(item)]
+        texts.append(" ".join(said(rng, rng.randrange(60)) + copy + said(rng, rng.randrange(60))))
+    docs = helpers.docs(spark, texts)
+    bench = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(items)], "item_id bigint, text string")
+    (block,) = decontamination.benchmark_blocks(bench)
+    every = helpers.exhaustive(decontamination.build_index(docs, block), dict(enumerate(texts)))
+    assert len(every) >= 20
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} == every
+
+
+def test_singular_vectors_are_those_of_an_exact_svd():
+    rng = np.random.default_rng(3)
+    u, v = (np.linalg.qr(rng.standard_normal((n, 30)))[0] for n in (400, 200))
+    a = (u * 0.5 ** np.arange(30)) @ v.T
+    omega = rng.standard_normal((200, 18))
+    got = decontamination.singular_vectors(omega, a.T @ (a @ omega), 8)
+    assert got.shape == (200, 8) and np.allclose(np.abs(got.T @ v[:, :8]), np.eye(8), atol=1e-3)
+    few = a[:3]  # of rank 3
+    assert decontamination.singular_vectors(omega, few.T @ (few @ omega), 8).shape == (200, 3)
+
+
+def test_blocks_are_bounded_by_passages_and_terms(spark, monkeypatch):
+    rng = random.Random(22)
+    bench = spark.createDataFrame([(0, " ".join(said(rng, 3000))), (1, " ".join(said(rng, 30)))], "item_id bigint, text string")
+    whole = list(decontamination.benchmark_blocks(bench))
+    assert len(whole) == 1
+    by_passage = list(decontamination.benchmark_blocks(bench, 50))  # a block ends inside an item
+    monkeypatch.setattr(decontamination, "CELLS", 20_000)
+    by_cells = list(decontamination.benchmark_blocks(bench))
+    assert all(len(b.passages) <= 50 for b in by_passage) and len(by_cells) > 2
+    assert all(len(b.passages) * len(b.terms) < 20_000 + 48 * len(b.passages) + len(b.terms) + 48 for b in by_cells)
+    for blocks in (by_passage, by_cells):
+        assert [i for b in blocks for i in b.items] == whole[0].items
+        words = [[names[t] for t in p] for b in blocks for names in [list(b.terms)] for p in b.passages]
+        assert words == [[list(whole[0].terms)[t] for t in p] for p in whole[0].passages]
+
+
 def test_short_items_and_scripts_without_spaces(spark):
     rng = random.Random(13)
     han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(30))

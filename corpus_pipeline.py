@@ -6,7 +6,8 @@ columns of ``documents``; the last returns packed pieces.
 
 A document's rows are named by doc_id.  Repeated rows are gone after exact
 dedup; of rows with one doc_id and several texts, later stages drop all or
-none; rows without a doc_id can't be named and pass stages 3 and 4.
+none.  Rows without a doc_id are named by their text: stages 3 and 4 number
+them above all doc_ids, so of near duplicates one with a doc_id stays.
 """
 
 from __future__ import annotations
@@ -50,24 +51,44 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.unionByName(repeated).select(*COLUMNS)
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    return docs.join(small_side(ids.distinct(), name), "doc_id", "left_anti").select(*COLUMNS)
+def _named(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column ``row``: doc_id, or the number of the text where that is null."""
+    rows = docs.select(*COLUMNS)
+    seen = rows.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("bigint").alias("top"),
+                    F.count_if(F.col("doc_id").isNull()).alias("bare")).first()
+    if not seen.bare:
+        return rows.withColumn("row", F.col("doc_id").cast("bigint"))
+    sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    bare = rows.where(F.col("doc_id").isNull()).withColumn("sha", sha)
+    texts = bare.select("sha").distinct().select("sha", (F.monotonically_increasing_id() + max(seen.top, 0) + 1).alias("row"))
+    numbers, _, _ = materialize(texts, name)
+    return rows.where(F.col("doc_id").isNotNull()).withColumn("row", F.col("doc_id").cast("bigint")).unionByName(
+        bare.join(numbers, "sha").drop("sha"))
+
+
+def _without(named: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    gone = small_side(rows.select(F.col("doc_id").alias("row")).distinct(), name)
+    return named.join(gone, "row", "left_anti").select(*COLUMNS)
+
+
+def _by_row(named: DataFrame) -> DataFrame:
+    return named.select(F.col("row").alias("doc_id"), "text")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates keep the document with the smallest doc_id."""
-    rows = docs.select(*COLUMNS)
-    marks, _, _ = materialize(simhash_dedup.near_duplicates(rows, shingle=4, max_distance=4), "near")
+    named = _named(docs, "near-rows")
+    marks, _, _ = materialize(simhash_dedup.near_duplicates(_by_row(named), shingle=4, max_distance=4), "near")
     heads = marks.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     gone = marks.where(F.col("doc_id") != F.col("component_id")).select("doc_id").join(heads, "doc_id", "left_anti")
-    return _without(rows, gone, "near-gone")
+    return _without(named, gone, "near-gone")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of the benchmark."""
-    rows = docs.select(*COLUMNS)
-    found = decontamination.contaminated(rows, read(spark, sf_dir, "benchmark"))
-    return _without(rows, found.where(F.col("doc_id").isNotNull()).select("doc_id"), "leaks")
+    named = _named(docs, "leak-rows")
+    found = decontamination.contaminated(_by_row(named), read(spark, sf_dir, "benchmark"))
+    return _without(named, found, "leaks")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -380,7 +380,7 @@ def _search(index: Index):
             words = at.ids[np.minimum(place, len(at.ids) - 1)]
             words = np.sort(np.where((place < end[:, None]) & (words >= 0), words, n_terms), axis=1)
             words[:, 1:][words[:, 1:] == words[:, :-1]] = n_terms
-            out[some] = held[words, p[some, None]].sum(axis=1) >= least[p[some]]
+            out[some] = held[words, p[some, None]].sum(axis=1, dtype=np.uint8) >= least[p[some]]  # at most PASSAGE
         return out
 
     def candidates(ids: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from adlumen.operators import graph
 from adlumen.operators.graph import (
     MAX_HOT_NAME_BYTES, component_attributes, component_members, component_sizes,
     connected_components, verify_components,
@@ -98,3 +101,28 @@ def test_attributes_of_members(spark):
     got = component_attributes(labels, names)
     assert got.columns == ["component", "member", "name", "n"]
     assert {tuple(r) for r in got.collect()} == {("a", "a", "A", 1), ("a", "b", None, 2), ("c", "c", None, None)}
+
+
+def test_contracted_graph_has_the_same_labels(spark, monkeypatch):
+    """A hub, a long chain, single ids and random edges, contracted before any star and unfolded again."""
+    rnd = random.Random(7)
+    edges = [("hub", f"h{i:04d}") for i in range(400)] + [(f"c{i}", f"c{i + 1}") for i in range(400)]
+    edges += [(f"s{i}", f"s{i}") for i in range(50)]
+    edges += [(f"r{rnd.randint(0, 400)}", f"r{rnd.randint(0, 400)}") for _ in range(300)]
+    expected = _union_find(edges)
+    for star_edges, hot_degree in ((20, None), (0, 50)):
+        monkeypatch.setattr(graph, "STAR_EDGES", star_edges)
+        assert _labels(spark, edges, hot_degree=hot_degree) == expected
+
+
+def test_contraction_halves_a_chain(spark):
+    """A round leaves about half of the edges, so the rounds cost about two of the first, not each as much."""
+    e = spark.range(2000).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
+    once = graph._contract(e, graph._nearest(e, 0), None)
+    assert once.count() < 1200
+
+
+def test_ids_that_share_a_hash_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(graph, "hash_vertex", lambda c: F.pmod(F.xxhash64(c), F.lit(5)))
+    edges = [("a", "b"), ("b", "c"), ("d", "e"), ("f", "f"), ("g", "h"), ("h", "a")]
+    assert _labels(spark, edges) == _union_find(edges)

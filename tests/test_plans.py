@@ -155,3 +155,32 @@ def test_a_cluster_refuses_a_local_checkpoint_folder(spark, monkeypatch):
     assert checkpoint_dir(session("file:///mnt/shared")) == "file:///mnt/shared"
     with pytest.raises(RuntimeError, match="not set"):
         checkpoint_dir(session(None))
+
+
+def test_a_large_dictionary_meets_app_ids_instead_of_rows(spark):
+    """No shuffle moves the buckets' rows (keywords and all) again, neither to the dictionary nor to their sums."""
+    rows = [dict(sessionid=str(i), imei="HOT" if i % 3 == 0 else f"i{i % 40}", mac=f"m{i % 17}", keywords="alpha|beta",
+                 appid=f"{i % 7}" if i % 5 else " ", appname=["", " ", "N1", None][i % 4]) for i in range(120)]
+    log = log_rows(spark, rows)
+    d = spark.createDataFrame([("1", "N1"), ("2", "N2"), ("4", None)], "key string, value string")
+    expected = sorted(map(str, person_profiles(log, dictionary=d).collect()))
+    assert sorted(map(str, person_profiles_colocated(log, dictionary=d, buckets=4).collect())) == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = person_profiles_colocated(log, dictionary=d, buckets=4, broadcast_rows=0)
+        lines = _plan(out).splitlines()
+        assert sorted(map(str, out.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scans = [i for i, x in enumerate(lines) if "FileScan parquet" in x and "keywords" in x]
+    assert scans
+    for scan in scans:      # every operator above a scan of whole rows, by its indent
+        depth, above = len(lines[scan]), []
+        for x in reversed(lines[:scan + 1]):
+            indent = len(x) - len(x.lstrip(" :+-*"))
+            if indent < depth:
+                depth = indent
+                above.append(x)
+        moved = [x for x in above if "Exchange hashpartitioning" in x]
+        assert len(moved) == 1 and "component" in moved[0] and "tag" in moved[0]

@@ -65,6 +65,42 @@ def test_removal_of_rows_without_a_name_and_of_an_empty_table(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], schema), 12).count() == 0
 
 
+@pytest.mark.parametrize("window, segment, block", [(12, 1 << 18, 1 << 20), (12, 50, 300)])
+def test_kept_bytes_and_spans(spark, window, segment, block):
+    rng = random.Random(1)
+    passage = "é".join("".join(rng.choice("abc") for _ in range(9)) for _ in range(20))
+    texts = [None, "", "".join(map(chr, range(300, 900))), "p" + passage + "q", "rs" + passage[3:] + "t" + passage[:40]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in suffix_dedup.kept_texts(docs, window, segment, block).collect()}
+    assert len(got) == len(texts)
+    for k, (n_bytes, n_removed, n_spans, kept_sha256) in enumerate(expected_removals(texts, window)):
+        raw, r = (texts[k] or "").encode(), got[k]
+        spans = [(x.start, x.start + x.length) for x in r.spans]
+        assert (r.n_bytes, sum(x.length for x in r.spans), len(spans)) == (n_bytes, n_removed, n_spans)
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))      # maximal, in order
+        kept = bytes(x for i, x in enumerate(raw) if not any(lo <= i < hi for lo, hi in spans))
+        assert bytes(r.kept) == kept and hashlib.sha256(kept).hexdigest() == kept_sha256
+    assert bytes(got[2].kept).decode() == texts[2] and bytes(got[3].kept) == b"pq"
+
+
+def test_query_gives_the_text_that_stays(spark, tmp_path):
+    rng = random.Random(2)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklé") for _ in range(8)) for _ in range(n))
+
+    passage, clean = words(60), words(80)
+    texts = ["a " + passage + " b", "c " + passage + " d", clean, None]
+    # the copies differ in their last character's last byte, so the repeat ends inside it
+    texts += ["1" + "x" * 400 + "é", "2" + "x" * 400 + "è"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op11_suffix_array_dedup(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    got = {r.doc_id: r.text for r in out.collect()}
+    # the blanks beside the passage belong to the repeat
+    assert got == {0: "ab", 1: "cd", 2: clean, 3: "", 4: "1\ufffd", 5: "2\ufffd"}
+
+
 # --- conversation trie ---------------------------------------------------------------------
 
 
